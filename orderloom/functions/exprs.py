@@ -99,7 +99,7 @@ def lines_text(lines="lines", strip: Sequence[str] = ()) -> Column:
             lid = F.regexp_replace(lid, "^" + p, "")
         return F.concat_ws(":", lid, F.coalesce(x["prod"], F.lit("")),
                            F.coalesce(x["amt"].cast("string"), F.lit("")))
-    return F.array_join(F.sort_array(F.transform(_c(lines), one)), ",")
+    return F.array_join(F.sort_array(F.array_distinct(F.transform(_c(lines), one))), ",")
 
 
 def shard_of(order_id="order_id", shards: int = 64) -> Column:

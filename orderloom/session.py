@@ -39,6 +39,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": os.environ.get("ORDERLOOM_DRIVER_MEMORY", "8g"),
         **REQUIRED_CONF,

@@ -174,5 +174,7 @@ def replay_feed(spark: SparkSession, sf_dir: str, run_base_year: int = 1994
 def replay_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Bronze tables of the replayed feeds (all runs)."""
     h, l = replay_feed(spark, sf_dir)
-    return (stamp_raw(h, "header", F.col("run_id"), F.col("received")),
-            stamp_raw(l, "line", F.col("run_id"), F.col("received")))
+    # A replay has no wall-clock run time: the arrival time stands in for it
+    # where a record has no event time.
+    return (stamp_raw(h, "header", F.col("run_id"), F.col("received"), F.col("received")),
+            stamp_raw(l, "line", F.col("run_id"), F.col("received"), F.col("received")))
