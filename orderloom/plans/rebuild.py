@@ -33,13 +33,23 @@ from orderloom.schemas import ORDER_KEY
 _UNB = Window.unboundedPreceding
 _CUR = Window.currentRow
 
+# A (line, run) group with more rows than this is pre-combined before the
+# line window (skew guard); the set of such groups is broadcast only when it
+# has at most this many keys.
+HOT_GROUP_ROWS = 100_000
+BROADCAST_HOT_KEYS_MAX = 200_000
+HOT_SAMPLE_FRACTION = 0.01
+
 
 def header_states(headers: DataFrame, lines: DataFrame) -> DataFrame:
     """One row per touched (run_id, key_bucket, order_id) with the header
     state at that run (NULLs while the order has no header)."""
     hp = headers.select(*KEY, *header_partials(headers))
     nulls = [F.lit(None).cast(hp.schema[c].dataType).alias(c) for c in ("_hd", "_hr", "_hc")]
-    per_run = (hp.unionByName(lines.select(*KEY, *nulls)).groupBy(*KEY)
+    # Keys touched by lines first, as a hash aggregate with map-side combine;
+    # only then meet the (sort-aggregated) header structs.
+    line_keys = lines.select(*KEY).distinct().select(*KEY, *nulls)
+    per_run = (hp.unionByName(line_keys).groupBy(*KEY)
                .agg(F.max("_hd").alias("_hd"), F.max("_hr").alias("_hr"),
                     F.max("_hc").alias("_hc")))
     w = Window.partitionBy(*ORDER_KEY).orderBy("run_id").rowsBetween(_UNB, _CUR)
@@ -51,7 +61,32 @@ def touched_keys(headers: DataFrame, lines: DataFrame) -> DataFrame:
     return header_states(headers, lines).select(*KEY)
 
 
-def line_states(lines: DataFrame, mode: str = "argmax") -> DataFrame:
+def split_hot(df: DataFrame, keys: list[str], threshold: int = HOT_GROUP_ROWS,
+              fraction: float = HOT_SAMPLE_FRACTION) -> tuple[DataFrame | None, DataFrame]:
+    """Split ``df`` into rows of hot groups (about more than ``threshold``
+    rows per ``keys``) and the rest.
+
+    Hot groups are found on a row sample (``fraction``): only the sampled
+    keys are shuffled and counted.  The sample only routes rows - every row
+    stays in one of the two outputs.  A group near the threshold may be
+    missed; it then takes the plain path, which is correct, just unsplit.
+    The hot key set is at most rows / threshold; it is broadcast only when
+    its counted size is under ``BROADCAST_HOT_KEYS_MAX``, otherwise the split
+    is a shuffled semi/anti join.  Returns ``(None, df)`` when nothing is hot.
+    """
+    sampled = df.select(*keys).sample(withReplacement=False, fraction=fraction, seed=17)
+    hot = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > F.lit(threshold * fraction)).select(*keys))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return None, df
+    if n_hot <= BROADCAST_HOT_KEYS_MAX:
+        hot = F.broadcast(hot)
+    return df.join(hot, keys, "left_semi"), df.join(hot, keys, "left_anti")
+
+
+def line_states(lines: DataFrame, mode: str = "argmax",
+                hot_threshold: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """Line state after each run that touched the line, with its validity
     ``[valid_from, valid_to)`` in runs.
 
@@ -59,24 +94,36 @@ def line_states(lines: DataFrame, mode: str = "argmax") -> DataFrame:
     ``strict``: rows of the touching run equal to the running maxima of event
     and arrival time (none -> the line is lost until touched again).
     ``maxima``: the three independent running maxima only (no row detail).
+
+    ``argmax`` is one shuffle on the line and one sorted window pass: the
+    running struct maximum over rows ordered by (run, ordering key), keeping
+    the last row of each run.  Rows of hot (line, run) groups are first
+    collapsed by a map-side-combined aggregate so no task receives them whole.
     """
     wl = Window.partitionBy(*LINE_KEY).orderBy("run_id")
-    if mode in ("argmax", "maxima"):
-        if mode == "argmax":
-            part = F.max(argmax_line_struct()).alias("_w")
-        else:
-            part = F.struct(F.max("occurred").alias("occurred"),
-                            F.max("received").alias("received"),
-                            F.max("run_id").alias("line_run_id")).alias("_w")
-        per = lines.groupBy(*LINE_KEY, "run_id").agg(part)
-        if mode == "argmax":
-            state = F.max("_w").over(wl.rowsBetween(_UNB, _CUR))
-        else:
-            state = F.struct(*[F.max(F.col("_w")[f]).over(wl.rowsBetween(_UNB, _CUR)).alias(f)
-                               for f in ("occurred", "received", "line_run_id")])
+    if mode == "argmax":
+        rows = lines.select(*LINE_KEY, "run_id", argmax_line_struct().alias("_w"))
+        if hot_threshold is not None:
+            hot, cold = split_hot(rows, [*LINE_KEY, "run_id"], hot_threshold)
+            if hot is not None:
+                hot = hot.groupBy(*LINE_KEY, "run_id").agg(F.max("_w").alias("_w"))
+                rows = cold.unionByName(hot)
+        w = Window.partitionBy(*LINE_KEY).orderBy("run_id", "_w")
+        x = rows.select(*LINE_KEY, "run_id", F.max("_w").over(w.rowsBetween(_UNB, _CUR)).alias("_s"),
+                        F.lead("run_id").over(w).alias("_next"))
+        last = x.where(F.col("_next").isNull() | (F.col("_next") != F.col("run_id")))
+        return last.select(*LINE_KEY, F.col("run_id").alias("valid_from"),
+                           F.lead("run_id").over(wl).alias("valid_to"), "_s.*")
+    if mode == "maxima":
+        # fixed-width maxima: a hash aggregate with map-side combine
+        per = lines.groupBy(*LINE_KEY, "run_id").agg(
+            F.max("occurred").alias("occurred"), F.max("received").alias("received"))
+        run = wl.rowsBetween(_UNB, _CUR)
         return per.select(*LINE_KEY, F.col("run_id").alias("valid_from"),
                           F.lead("run_id").over(wl).alias("valid_to"),
-                          state.alias("_s")).select(*LINE_KEY, "valid_from", "valid_to", "_s.*")
+                          F.max("occurred").over(run).alias("occurred"),
+                          F.max("received").over(run).alias("received"),
+                          F.col("run_id").alias("line_run_id"))
     if mode == "strict":
         cum = wl.rangeBetween(_UNB, _CUR)
         nxt = wl.rangeBetween(1, Window.unboundedFollowing)

@@ -63,3 +63,20 @@ def test_fold_properties(spark, sf_small):
     assert _same(flat(as_of(v, last)), flat(lat))
     assert _same(flat(fold_latest(v.repartition(7).orderBy(F.rand(3)))), flat(lat))
     v.unpersist()
+
+
+def test_hot_group_split_same_result(spark, sf_small):
+    from orderloom.plans.rebuild import line_states
+    t = replay_tables(spark, sf_small)
+    plain = line_states(t.lines, hot_threshold=None)
+    # threshold 0: every sampled (line, run) group takes the pre-combined path
+    assert _same(plain, line_states(t.lines, hot_threshold=0))
+
+
+def test_split_hot_keeps_every_row(spark):
+    from orderloom.plans.rebuild import split_hot
+    df = spark.range(20000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id")
+    hot, cold = split_hot(df, ["k"], threshold=1000, fraction=0.2)
+    assert [r.k for r in hot.select("k").distinct().collect()] == [0]
+    assert hot.count() + cold.count() == 20000
+    assert cold.where("k = 0").count() == 0
