@@ -218,6 +218,9 @@ FROM T GROUP BY run_id""",
         "deleted_orders": full + f"\nSELECT {_VCOLS} FROM FOLD WHERE coalesce(is_order_deleted, false)",
         "headerless_orders": full + f"""
 SELECT {_VCOLS} FROM FOLD WHERE NOT coalesce(is_order_deleted, false) AND is_order_deleted IS NULL""",
+        "incremental_versions": full + f"\nSELECT {_VCOLS} FROM V",
+        "incremental_latest": full + f"\nSELECT {_VCOLS} FROM FOLD WHERE NOT coalesce(is_order_deleted, false)",
+        "stream_latest": full + f"\nSELECT {_VCOLS} FROM FOLD WHERE NOT coalesce(is_order_deleted, false)",
         "line_counts_by_state": full + """
 SELECT CASE WHEN lines_text IS NULL THEN 'no_lines' WHEN lines_text = '' THEN 'all_deleted'
             ELSE 'live' END AS line_state,

@@ -184,6 +184,37 @@ def q_line_counts_by_state(spark, sf):
     return history.lines_summary(fold.fold_latest(_versions(spark, sf)))
 
 
+def _scratch(spark, what):
+    """A fresh folder under the cluster's shared checkpoint dir."""
+    import uuid
+    from orderloom.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/orderloom-{what}-{uuid.uuid4().hex[:12]}"
+
+
+def q_incremental_versions(spark, sf):
+    """Versions written by the run-by-run incremental pipeline (store)."""
+    from orderloom.plans.replay import replay_incremental
+    store = replay_incremental(spark, sf, _scratch(spark, "incremental"))
+    return flat(store.read("versions"))
+
+
+def q_incremental_latest(spark, sf):
+    """Latest orders read from the store: compacted base + versions since."""
+    from orderloom.plans import incremental
+    from orderloom.plans.replay import replay_incremental
+    store = replay_incremental(spark, sf, _scratch(spark, "incremental"))
+    return flat(incremental.latest(store))
+
+
+def q_stream_latest(spark, sf):
+    """Latest orders from the Structured Streaming runner over the derived
+    feeds dropped as JSON files run by run."""
+    from orderloom.plans import incremental
+    from orderloom.plans.replay import stream_replay
+    store = stream_replay(spark, sf, _scratch(spark, "stream"))
+    return flat(incremental.latest(store))
+
+
 QUERIES: dict[str, Query] = {
     "replay_headers": q_replay_headers,
     "replay_lines": q_replay_lines,
@@ -214,4 +245,7 @@ QUERIES: dict[str, Query] = {
     "deleted_orders": q_deleted_orders,
     "headerless_orders": q_headerless_orders,
     "line_counts_by_state": q_line_counts_by_state,
+    "incremental_versions": q_incremental_versions,
+    "incremental_latest": q_incremental_latest,
+    "stream_latest": q_stream_latest,
 }

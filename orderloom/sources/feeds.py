@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions.exprs import key_bucket
 from orderloom.schemas import (HEADER_FEED, LINE_FEED, MAX_FILES_PER_TRIGGER)
@@ -47,12 +48,22 @@ def read_feed(spark: SparkSession, path: str | list[str], kind: str) -> DataFram
     return _lower(_with_file(df))
 
 
+def feed_schema(kind: str, received_field: str | None = None) -> T.StructType:
+    """Schema hints of a feed; ``received_field`` adds an arrival-time field
+    carried in the payload (e.g. stamped by the producer)."""
+    s = FEEDS[kind]
+    if received_field:
+        s = T.StructType(s.fields + [T.StructField(received_field, T.TimestampNTZType())])
+    return s
+
+
 def stream_feed(spark: SparkSession, path: str, kind: str,
-                max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """Incremental read: every new file of the folder once, at most
+                max_files: int = MAX_FILES_PER_TRIGGER,
+                received_field: str | None = None) -> DataFrame:
+    """Incremental read: every new file of the folder (or glob) once, at most
     ``max_files`` files per micro-batch; existing files are included."""
-    df = (spark.readStream.schema(FEEDS[kind]).option("mode", "PERMISSIVE")
-          .option("maxFilesPerTrigger", max_files).json(path))
+    df = (spark.readStream.schema(feed_schema(kind, received_field))
+          .option("mode", "PERMISSIVE").option("maxFilesPerTrigger", max_files).json(path))
     return _lower(_with_file(df))
 
 
