@@ -50,5 +50,5 @@ def records_as_json(spark, pattern: str) -> DataFrame:
     data_cols = [c for c in df.columns if c not in ("source_file", "file_mtime")]
     return (df.select(F.col("source_file").alias("file_name"),
                       F.to_json(F.struct(*data_cols)).alias("json_string"))
-            .orderBy(F.regexp_replace("file_name", r"^.+/SO[HL]_([^.]+)\.json", "$1"),
+            .orderBy(F.regexp_replace("file_name", r"^.+/SO[HL]_([^./]+)(\.json|/.*)$", "$1"),
                      "file_name"))

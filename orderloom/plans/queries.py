@@ -215,6 +215,16 @@ def q_stream_latest(spark, sf):
     return flat(incremental.latest(store))
 
 
+def q_records_as_json(spark, sf):
+    """Every record of the feed files as JSON text with its file (both feed
+    folders read at once through a glob; the inferred schemas are unioned)."""
+    from orderloom.plans.replay import export_run_json, run_ids
+    root = _scratch(spark, "files")
+    for r in run_ids(spark, sf):
+        export_run_json(spark, sf, root, r)
+    return history.records_as_json(spark, f"{root}/SO*/*")
+
+
 QUERIES: dict[str, Query] = {
     "replay_headers": q_replay_headers,
     "replay_lines": q_replay_lines,
@@ -248,4 +258,5 @@ QUERIES: dict[str, Query] = {
     "incremental_versions": q_incremental_versions,
     "incremental_latest": q_incremental_latest,
     "stream_latest": q_stream_latest,
+    "records_as_json": q_records_as_json,
 }
