@@ -180,12 +180,28 @@ def order_lines_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax")
     return order_lines(line_latest_all(headers, lines, mode))
 
 
-def versions_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax") -> DataFrame:
-    """Every version of every touched order (the version history), one job."""
+def _cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the cluster's shared checkpoint folder (reliable
+    checkpoint, never a local one) so later failures do not recompute it."""
+    from orderloom.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def versions_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax",
+                 cut_lineage: bool = False) -> DataFrame:
+    """Every version of every touched order (the version history), one job.
+
+    ``cut_lineage`` checkpoints the header and line states (written to
+    ``spark.checkpoint.dir``) before the assembly join: on a large cluster a
+    lost executor then costs the join stage, not the scans and windows."""
     th = header_states(headers, lines).select(
         *KEY, "is_order_deleted", F.col("occurred").alias("h_occurred"),
         F.col("received").alias("h_received"), "cust")
-    st = line_states(lines, mode).select(
+    states = line_states(lines, mode)
+    if cut_lineage:
+        th, states = _cut(th), _cut(states)
+    st = states.select(
         *LINE_KEY, "valid_from", "valid_to", "is_line_deleted",
         F.col("occurred").alias("l_occurred"), F.col("received").alias("l_received"),
         "line_run_id", "prod", "amt")

@@ -80,3 +80,9 @@ def test_split_hot_keeps_every_row(spark):
     assert [r.k for r in hot.select("k").distinct().collect()] == [0]
     assert hot.count() + cold.count() == 20000
     assert cold.where("k = 0").count() == 0
+
+
+def test_cut_lineage_same_result(spark, sf_small):
+    t = replay_tables(spark, sf_small)
+    assert _same(flat(versions_all(t.headers, t.lines)),
+                 flat(versions_all(t.headers, t.lines, cut_lineage=True)))
