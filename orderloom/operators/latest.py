@@ -106,10 +106,10 @@ def line_latest_ts(keys: DataFrame, lines: DataFrame,
 
 
 def line_latest(keys: DataFrame, lines: DataFrame, run_id: int | None = None,
-                mode: str = "argmax") -> DataFrame:
+                mode: str = "argmax", prefiltered: bool = False) -> DataFrame:
     """Current row of every line of each touched order (deleted lines included,
-    flagged)."""
-    h = _history(lines, keys, run_id)
+    flagged).  ``prefiltered``: ``lines`` already holds only touched orders."""
+    h = lines if prefiltered else _history(lines, keys, run_id)
     if mode == "argmax":
         cur = (h.groupBy(*LINE_KEY).agg(F.max(argmax_line_struct()).alias("w"))
                .select(*LINE_KEY, "w.*"))
