@@ -28,6 +28,7 @@ from orderloom.operators.assemble import assemble_versions, order_lines
 from orderloom.operators.latest import (KEY, LINE_KEY, LINE_LATEST_COLS,
                                         argmax_line_struct, header_partials,
                                         header_state)
+from orderloom.operators.latest import touched_keys as latest_touched_keys
 from orderloom.schemas import ORDER_KEY
 
 _UNB = Window.unboundedPreceding
@@ -58,7 +59,9 @@ def header_states(headers: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def touched_keys(headers: DataFrame, lines: DataFrame) -> DataFrame:
-    return header_states(headers, lines).select(*KEY)
+    """Distinct (run_id, key_bucket, order_id) of both feeds (hash aggregate
+    with map-side combine)."""
+    return latest_touched_keys(headers, lines)
 
 
 def split_hot(df: DataFrame, keys: list[str], threshold: int = HOT_GROUP_ROWS,
