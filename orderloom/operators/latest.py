@@ -44,8 +44,21 @@ def touched_keys(headers: DataFrame, lines: DataFrame) -> DataFrame:
 
 # --- header aggregates (shared with the all-runs rebuild) ---------------------
 
-def header_partials(headers: DataFrame) -> list[Column]:
-    """Per-row structs whose maxima give the header state."""
+def header_partials(headers: DataFrame, exclude_deleted: bool = False) -> list[Column]:
+    """Per-row structs whose maxima give the header state.
+
+    ``exclude_deleted``: among the rows at the newest event time only the
+    non-deleted ones count (none left -> no header state).  A ``live`` field
+    right after the event time makes the maximum prefer them.
+    """
+    if exclude_deleted:
+        live = (~F.col("is_order_deleted")).alias("live")
+        return [
+            F.struct("occurred", live).alias("_hd"),
+            F.struct("occurred", live, "received").alias("_hr"),
+            F.struct("occurred", live, "received", F.col("run_id").alias("h_run_id"),
+                     "cust").alias("_hc"),
+        ]
     return [
         F.struct("occurred", "is_order_deleted").alias("_hd"),
         F.struct("occurred", "received").alias("_hr"),
@@ -54,7 +67,13 @@ def header_partials(headers: DataFrame) -> list[Column]:
     ]
 
 
-def header_state(d: Column, r: Column, c: Column) -> list[Column]:
+def header_state(d: Column, r: Column, c: Column, exclude_deleted: bool = False) -> list[Column]:
+    if exclude_deleted:
+        ok = d["live"]
+        return [F.when(ok, F.lit(False)).alias("is_order_deleted"),
+                F.when(ok, d["occurred"]).alias("occurred"),
+                F.when(ok, r["received"]).alias("received"),
+                F.when(ok, c["cust"]).alias("cust")]
     return [d["is_order_deleted"].alias("is_order_deleted"),
             d["occurred"].alias("occurred"),
             r["received"].alias("received"),
@@ -82,16 +101,19 @@ def header_latest_ts(keys: DataFrame, headers: DataFrame,
     return keys.join(agg, ORDER_KEY).select(*KEY, "occurred")
 
 
-def header_latest(keys: DataFrame, headers: DataFrame,
-                  run_id: int | None = None) -> DataFrame:
+def header_latest(keys: DataFrame, headers: DataFrame, run_id: int | None = None,
+                  exclude_deleted: bool = False) -> DataFrame:
     """Header state of each touched order: rows at the newest event time
-    collapsed (delete = OR, received = max, customer of the newest arrival)."""
+    collapsed (delete = OR, received = max, customer of the newest arrival);
+    ``exclude_deleted`` keeps only non-deleted rows at that time."""
     h = _history(headers, keys, run_id)
-    agg = (h.select(*ORDER_KEY, *header_partials(h)).groupBy(*ORDER_KEY)
+    agg = (h.select(*ORDER_KEY, *header_partials(h, exclude_deleted)).groupBy(*ORDER_KEY)
            .agg(F.max("_hd").alias("_hd"), F.max("_hr").alias("_hr"),
                 F.max("_hc").alias("_hc")))
-    return (keys.join(agg, ORDER_KEY)
-            .select(*KEY, *header_state(F.col("_hd"), F.col("_hr"), F.col("_hc"))))
+    out = (keys.join(agg, ORDER_KEY)
+           .select(*KEY, *header_state(F.col("_hd"), F.col("_hr"), F.col("_hc"),
+                                       exclude_deleted)))
+    return out.where(F.col("occurred").isNotNull()) if exclude_deleted else out
 
 
 def line_latest_ts(keys: DataFrame, lines: DataFrame,

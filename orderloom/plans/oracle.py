@@ -180,6 +180,12 @@ WHERE NOT coalesce(hid IS NOT NULL AND lid IS NOT NULL, false)""",
         "touched_keys": base + "\nSELECT * FROM T",
         "header_latest_ts": _with(_BASE, _HEADER) + "\nSELECT run_id, key_bucket, order_id, occurred FROM HS",
         "header_latest": _with(_BASE, _HEADER) + "\nSELECT * FROM HS",
+        "header_latest_live": _with(_BASE, _HEADER) + """
+SELECT r AS run_id, key_bucket, order_id, false AS is_order_deleted, max(occurred) AS occurred,
+       max(received) AS received,
+       arg_max(cust_id, (received, h_run, cust_id, cust_name)) AS cust_id,
+       arg_max(cust_name, (received, h_run, cust_id, cust_name)) AS cust_name
+FROM HX WHERE occurred = mo AND NOT is_order_deleted GROUP BY r, key_bucket, order_id""",
         "line_latest_ts": _with(_BASE, _LX) + """
 SELECT r AS run_id, key_bucket, order_id, line_id, max(occurred) AS occurred,
        max(received) AS received, max(line_run_id) AS line_run_id

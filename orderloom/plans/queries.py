@@ -103,6 +103,12 @@ def q_header_latest(spark, sf):
     return flat(rebuild.header_latest_all(t.headers, t.lines))
 
 
+def q_header_latest_live(spark, sf):
+    """Header state counting only non-deleted rows at the newest event time."""
+    t = _t(spark, sf)
+    return flat(rebuild.header_latest_all(t.headers, t.lines, exclude_deleted=True))
+
+
 def q_line_latest_ts(spark, sf):
     t = _t(spark, sf)
     return rebuild.line_latest_ts_all(t.headers, t.lines)
@@ -238,6 +244,7 @@ QUERIES: dict[str, Query] = {
     "touched_keys": q_touched_keys,
     "header_latest_ts": q_header_latest_ts,
     "header_latest": q_header_latest,
+    "header_latest_live": q_header_latest_live,
     "line_latest_ts": q_line_latest_ts,
     "line_latest": q_line_latest,
     "line_latest_strict": q_line_latest_strict,

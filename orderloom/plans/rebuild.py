@@ -42,10 +42,11 @@ BROADCAST_HOT_KEYS_MAX = 200_000
 HOT_SAMPLE_FRACTION = 0.01
 
 
-def header_states(headers: DataFrame, lines: DataFrame) -> DataFrame:
+def header_states(headers: DataFrame, lines: DataFrame,
+                  exclude_deleted: bool = False) -> DataFrame:
     """One row per touched (run_id, key_bucket, order_id) with the header
     state at that run (NULLs while the order has no header)."""
-    hp = headers.select(*KEY, *header_partials(headers))
+    hp = headers.select(*KEY, *header_partials(headers, exclude_deleted))
     nulls = [F.lit(None).cast(hp.schema[c].dataType).alias(c) for c in ("_hd", "_hr", "_hc")]
     # Keys touched by lines first, as a hash aggregate with map-side combine;
     # only then meet the (sort-aggregated) header structs.
@@ -55,7 +56,7 @@ def header_states(headers: DataFrame, lines: DataFrame) -> DataFrame:
                     F.max("_hc").alias("_hc")))
     w = Window.partitionBy(*ORDER_KEY).orderBy("run_id").rowsBetween(_UNB, _CUR)
     return per_run.select(*KEY, *header_state(F.max("_hd").over(w), F.max("_hr").over(w),
-                                              F.max("_hc").over(w)))
+                                              F.max("_hc").over(w), exclude_deleted))
 
 
 def touched_keys(headers: DataFrame, lines: DataFrame) -> DataFrame:
@@ -157,8 +158,10 @@ def _lines_at_touched(keys: DataFrame, states: DataFrame, how: str) -> DataFrame
     return s.join(k, cond, how)
 
 
-def header_latest_all(headers: DataFrame, lines: DataFrame) -> DataFrame:
-    return header_states(headers, lines).where(F.col("occurred").isNotNull())
+def header_latest_all(headers: DataFrame, lines: DataFrame,
+                      exclude_deleted: bool = False) -> DataFrame:
+    return (header_states(headers, lines, exclude_deleted)
+            .where(F.col("occurred").isNotNull()))
 
 
 def header_latest_ts_all(headers: DataFrame, lines: DataFrame) -> DataFrame:

@@ -83,3 +83,19 @@ def test_malformed_and_unknown_columns(spark, tmp_path):
     row = ev.where("hid IS NOT NULL").selectExpr(
         "hid", "ldate", "amt", "variant_get(extra, '$.COLOUR', 'string') AS colour").first()
     assert (row.hid, row.ldate.day, row.amt, row.colour) == ("X1", 1, 3.0, "red")
+
+
+def test_exclude_deleted_headers_option(spark):
+    from orderloom.operators.latest import header_latest, touched_keys
+    from orderloom.plans.rebuild import header_latest_all
+    hdr = [("X1", d(1), "C1", "a", d(1), 1), ("X1", d(1), "", "b", d(2), 2),
+           ("X2", d(1), "", "z", d(1), 1)]
+    h, l = ingested(spark, hdr, [])
+    allruns = {(r.run_id, r.order_id.replace(H, "")): r
+               for r in header_latest_all(h, l, exclude_deleted=True).collect()}
+    # X1: the delete at the same date is ignored, the live row stays; X2: only a delete -> none
+    assert set(allruns) == {(1, "X1"), (2, "X1")}
+    assert allruns[(2, "X1")].cust.id == "C1" and allruns[(2, "X1")].is_order_deleted is False
+    keys = touched_keys(h, l).where("run_id = 2")
+    per_run = header_latest(keys, h, run_id=2, exclude_deleted=True).collect()
+    assert [(r.order_id, r.cust.id) for r in per_run] == [(H + "X1", "C1")]
