@@ -7,7 +7,7 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 Each query is forced completely with the ``noop`` sink (no collect to the
 driver).  ``incremental_run`` times one pipeline run (the last run of the
 replayed feeds) against a store holding the runs before it, compacted; the
-store is prepared untimed in a scratch folder.
+store is prepared untimed in a scratch folder under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from orderloom import get_spark  # noqa: E402
+from orderloom import checkpoint_dir, get_spark  # noqa: E402
 from orderloom.operators import fold  # noqa: E402
 from orderloom.plans import incremental  # noqa: E402
 from orderloom.plans.pipeline import replay_tables  # noqa: E402
@@ -63,7 +63,7 @@ def main() -> None:
         times[name] = round(time.time() - t0, 3)
 
     # one incremental run against a prepared store
-    scratch = tempfile.mkdtemp(prefix="orderloom-bench-")
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/orderloom-bench-{uuid.uuid4().hex[:12]}"
     runs = run_ids(spark, sf_dir)
     store = replay_incremental(spark, sf_dir, f"{scratch}/store", runs=runs[:-1],
                                compact_every=len(runs) - 1)
