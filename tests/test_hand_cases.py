@@ -99,3 +99,44 @@ def test_exclude_deleted_headers_option(spark):
     keys = touched_keys(h, l).where("run_id = 2")
     per_run = header_latest(keys, h, run_id=2, exclude_deleted=True).collect()
     assert [(r.order_id, r.cust.id) for r in per_run] == [(H + "X1", "C1")]
+
+
+def test_q4_strict_duplicates_count_once(spark):
+    # same line, same run, same times, different amounts: both rows hold all
+    # three maxima -> two structs in the array, one distinct line id
+    lines = [("X1", "L1", d(1), "P", 3.0, d(1), 1), ("X1", "L1", d(1), "P", 4.0, d(1), 1)]
+    r = _by(_v(spark, [], lines, "strict"))[(1, "X1")]
+    assert r.line_cnt == 1 and sorted(x.amt for x in r.lines) == [3, 4]
+    a = _by(_v(spark, [], lines))[(1, "X1")]
+    assert a.line_cnt == 1 and [x.amt for x in a.lines] == [4]
+
+
+def test_q7_strict_rebuild_can_rank_below_older_version(spark):
+    lines = [("X1", "L1", d(5), "P", 1.0, d(5), 1), ("X1", "L1", d(3), "P", 2.0, d(6), 2)]
+    strict = fold_latest(_v(spark, [], lines, "strict")).collect()
+    argmax = fold_latest(_v(spark, [], lines)).collect()
+    assert [r.run_id for r in strict] == [1]   # the run-2 rebuild lost its line, lower seq
+    assert [r.run_id for r in argmax] == [2]
+
+
+def test_q8_struct_sequence_orders_before_1970(spark):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from orderloom.functions.exprs import micros, seq_string, seq_struct
+    # 1e17 + a negative value prints with 17 digits and then sorts after
+    # every 18-digit part of a post-1970 time
+    df = spark.createDataFrame([(dt.datetime(1970, 1, 2), 1),
+                                (dt.datetime(1969, 12, 31), 2)], "ts timestamp_ntz, run bigint")
+    rows = df.select(seq_struct(micros("ts"), F.lit(0), F.lit(0), F.col("run")).alias("seq")) \
+        .select("seq", seq_string("seq").alias("s")).collect()
+    by_struct = max(rows, key=lambda r: tuple(r.seq))
+    by_string = max(rows, key=lambda r: r.s)
+    assert by_struct.seq.run_id == 1      # 1970-01-02 is the newer one
+    assert by_string.seq.run_id == 2      # the printed form gets it wrong
+
+
+def test_q10_line_structs_carry_the_version_run(spark):
+    lines = [("X1", "L1", d(1), "P", 1.0, d(1), 1), ("X1", "L2", d(2), "P", 1.0, d(2), 2)]
+    for (run, _), r in _by(_v(spark, [], lines)).items():
+        assert all(x.run_id == run for x in r.lines)
+    assert {x.line_run_id for x in _by(_v(spark, [], lines))[(2, "X1")].lines} == {1, 2}
