@@ -59,14 +59,28 @@ def feed_schema(kind: str, received_field: str | None = None) -> T.StructType:
 
 def stream_feed(spark: SparkSession, path: str, kind: str,
                 max_files: int = MAX_FILES_PER_TRIGGER,
-                received_field: str | None = None) -> DataFrame:
+                received_field: str | None = None, evolve: bool = False) -> DataFrame:
     """Incremental read: every new file of the folder (or glob) once, at most
-    ``max_files`` files per micro-batch; existing files are included."""
-    df = (spark.readStream.schema(feed_schema(kind, received_field))
-          .option("mode", "PERMISSIVE").option("maxFilesPerTrigger", max_files).json(path))
+    ``max_files`` files per micro-batch; existing files are included.
+
+    ``evolve``: keep columns the hints do not name (each record as one
+    VARIANT ``extra``, hinted columns extracted with their types)."""
+    r = spark.readStream.option("maxFilesPerTrigger", max_files)
+    if evolve:
+        raw = r.option("singleVariantColumn", "extra").schema("extra variant").json(path)
+        return _from_variant(raw, feed_schema(kind, received_field))
+    df = r.schema(feed_schema(kind, received_field)).option("mode", "PERMISSIVE").json(path)
     return _lower(_with_file(df))
 
 
+def _from_variant(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    cols = [F.expr(f"try_variant_get(extra, '$.{f.name}', '{f.dataType.simpleString()}')")
+            .alias(f.name.lower()) for f in schema.fields]
+    return raw.select(*cols, "extra", F.col("_metadata.file_path").alias("source_file"),
+                      F.col("_metadata.file_modification_time").cast("timestamp_ntz")
+                      .alias("file_mtime"))
+
+
 def read_feed_evolving(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
     """Read keeping columns the hints do not name.
 
@@ -75,12 +89,7 @@ def read_feed_evolving(spark: SparkSession, path: str | list[str], kind: str) ->
     pass through (``variant_get(extra, '$.X', 'int')``).
     """
     raw = spark.read.option("singleVariantColumn", "extra").json(path)
-    cols = [F.expr(f"try_variant_get(extra, '$.{f.name}', '{f.dataType.simpleString()}')")
-            .alias(f.name.lower()) for f in FEEDS[kind].fields]
-    df = raw.select(*cols, "extra", F.col("_metadata.file_path").alias("source_file"),
-                    F.col("_metadata.file_modification_time").cast("timestamp_ntz")
-                    .alias("file_mtime"))
-    return df
+    return _from_variant(raw, FEEDS[kind])
 
 
 def widen(dfs: list[DataFrame]) -> DataFrame:
