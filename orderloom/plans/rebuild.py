@@ -14,9 +14,9 @@ maximum, hence associative), so
    (equi-join on the order + range condition on the run) and assembled.
 
 The work grows with the states and the versions it emits, not with history
-times runs.  A hot order is split by AQE's skew join (the line states are the
-splittable side of a right outer join), and its lines are spread by
-(order, line) in steps 1-2.
+times runs.  A hot order's lines are spread by (order, line) in steps 1-2,
+and in step 3 its states are salted by line over several tasks (its touched
+keys repeated per salt); the assembly then merges the per-salt partials.
 """
 
 from __future__ import annotations
@@ -40,6 +40,10 @@ _CUR = Window.currentRow
 HOT_GROUP_ROWS = 100_000
 BROADCAST_HOT_KEYS_MAX = 200_000
 HOT_SAMPLE_FRACTION = 0.01
+# An order with more line states than this is salted by line over
+# HOT_ORDER_SALTS tasks in the assembly join.
+HOT_ORDER_STATES = 200_000
+HOT_ORDER_SALTS = 32
 
 
 def header_states(headers: DataFrame, lines: DataFrame,
@@ -143,18 +147,48 @@ def line_states(lines: DataFrame, mode: str = "argmax",
     raise ValueError(f"unknown line mode {mode!r}")
 
 
-def _lines_at_touched(keys: DataFrame, states: DataFrame, how: str) -> DataFrame:
-    """Touched keys x line states valid at the key's run.
+def _salt_hot_orders(keys: DataFrame, states: DataFrame, threshold: int | None,
+                     salts: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Spread hot orders over ``salts`` join tasks.
 
-    ``states`` is the left side so that, as a right outer join, AQE may split
-    a skewed order's states over several tasks.
+    Orders with more than about ``threshold`` line states (found on a sample,
+    see ``split_hot``) get ``_salt = pmod(xxhash64(line_id), salts)`` on the
+    state side, and their touched keys are repeated once per salt; every
+    other order has salt 0 on both sides.  Without hot orders nothing is
+    added.  Returns (keys, states, salted).
     """
+    if threshold is None:
+        return keys, states, False
+    hot_states, _ = split_hot(states.select(*ORDER_KEY), ORDER_KEY, threshold)
+    if hot_states is None:
+        return keys, states, False
+    hot = hot_states.select(*ORDER_KEY).distinct().select("*", F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot)  # bounded: at most states / threshold keys, counted in split_hot
+    st = (states.join(hot, ORDER_KEY, "left")
+          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("line_id"), F.lit(salts)))
+                      .otherwise(F.lit(0)).cast("int")).drop("_hot"))
+    ks = (keys.join(hot, ORDER_KEY, "left")
+          .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                         .otherwise(F.array(F.lit(0))))).drop("_hot"))
+    return ks, st, True
+
+
+def _lines_at_touched(keys: DataFrame, states: DataFrame, how: str,
+                      hot_threshold: int | None = None, salts: int = HOT_ORDER_SALTS) -> DataFrame:
+    """Touched keys x line states valid at the key's run (equi-join on the
+    order, range condition on the run).  Hot orders are salted by line so
+    their states spread over ``salts`` tasks (see ``_salt_hot_orders``)."""
+    keys, states, salted = _salt_hot_orders(keys, states, hot_threshold, salts)
     s = states.alias("s")
     k = keys.alias("k")
     cond = [F.col("s.key_bucket") == F.col("k.key_bucket"),
             F.col("s.order_id") == F.col("k.order_id"),
             F.col("s.valid_from") <= F.col("k.run_id"),
             F.col("s.valid_to").isNull() | (F.col("k.run_id") < F.col("s.valid_to"))]
+    if salted:
+        # only when hot orders exist: otherwise the join keeps the (bucket,
+        # order) partitioning of both inputs and of the assembly after it
+        cond.append(F.col("s._salt") == F.col("k._salt"))
     return s.join(k, cond, how)
 
 
@@ -195,7 +229,8 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def versions_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax",
-                 cut_lineage: bool = False) -> DataFrame:
+                 cut_lineage: bool = False,
+                 hot_order_states: int | None = HOT_ORDER_STATES) -> DataFrame:
     """Every version of every touched order (the version history), one job.
 
     ``cut_lineage`` checkpoints the header and line states (written to
@@ -211,7 +246,7 @@ def versions_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax",
         *LINE_KEY, "valid_from", "valid_to", "is_line_deleted",
         F.col("occurred").alias("l_occurred"), F.col("received").alias("l_received"),
         "line_run_id", "prod", "amt")
-    j = _lines_at_touched(th, st, "right").select(
+    j = _lines_at_touched(th, st, "right", hot_threshold=hot_order_states).select(
         "k.run_id", "k.key_bucket", "k.order_id", "k.is_order_deleted", "k.h_occurred",
         "k.h_received", "k.cust", "s.line_id", "s.is_line_deleted", "s.l_occurred",
         "s.l_received", "s.line_run_id", "s.prod", "s.amt")
