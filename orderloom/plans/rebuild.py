@@ -82,19 +82,35 @@ def split_hot(df: DataFrame, keys: list[str], threshold: int = HOT_GROUP_ROWS,
     its counted size is under ``BROADCAST_HOT_KEYS_MAX``, otherwise the split
     is a shuffled semi/anti join.  Returns ``(None, df)`` when nothing is hot.
     """
-    sampled = df.select(*keys).sample(withReplacement=False, fraction=fraction, seed=17)
+    hot = hot_keys(df, keys, threshold, fraction)
+    if hot is None:
+        return None, df
+    return df.join(hot, keys, "left_semi"), df.join(hot, keys, "left_anti")
+
+
+def hot_keys(df: DataFrame, keys: list[str], threshold: int,
+             fraction: float = HOT_SAMPLE_FRACTION, sample: DataFrame | None = None
+             ) -> DataFrame | None:
+    """Keys with more than about ``threshold`` rows, found on a row sample
+    (``sample`` when one is shared).  A small, counted set is materialised
+    as a local DataFrame and broadcast; a larger one stays a lazy DataFrame
+    joined with a shuffle.  None when nothing is hot."""
+    sampled = sample if sample is not None else \
+        df.select(*keys).sample(withReplacement=False, fraction=fraction, seed=17)
     hot = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > F.lit(threshold * fraction)).select(*keys))
     n_hot = hot.count()
     if n_hot == 0:
-        return None, df
+        return None
     if n_hot <= BROADCAST_HOT_KEYS_MAX:
-        hot = F.broadcast(hot)
-    return df.join(hot, keys, "left_semi"), df.join(hot, keys, "left_anti")
+        # bounded by the count just taken: safe to hold and broadcast
+        return F.broadcast(df.sparkSession.createDataFrame(hot.collect(), hot.schema))
+    return hot
 
 
 def line_states(lines: DataFrame, mode: str = "argmax",
-                hot_threshold: int | None = HOT_GROUP_ROWS) -> DataFrame:
+                hot_threshold: int | None = HOT_GROUP_ROWS,
+                sample: DataFrame | None = None) -> DataFrame:
     """Line state after each run that touched the line, with its validity
     ``[valid_from, valid_to)`` in runs.
 
@@ -112,10 +128,13 @@ def line_states(lines: DataFrame, mode: str = "argmax",
     if mode == "argmax":
         rows = lines.select(*LINE_KEY, "run_id", argmax_line_struct().alias("_w"))
         if hot_threshold is not None:
-            hot, cold = split_hot(rows, [*LINE_KEY, "run_id"], hot_threshold)
-            if hot is not None:
-                hot = hot.groupBy(*LINE_KEY, "run_id").agg(F.max("_w").alias("_w"))
-                rows = cold.unionByName(hot)
+            k = [*LINE_KEY, "run_id"]
+            hk = hot_keys(rows, k, hot_threshold,
+                          sample=None if sample is None else sample.select(*k))
+            if hk is not None:
+                hot = (rows.join(hk, k, "left_semi").groupBy(*k)
+                       .agg(F.max("_w").alias("_w")))
+                rows = rows.join(hk, k, "left_anti").unionByName(hot)
         w = Window.partitionBy(*LINE_KEY).orderBy("run_id", "_w")
         x = rows.select(*LINE_KEY, "run_id", F.max("_w").over(w.rowsBetween(_UNB, _CUR)).alias("_s"),
                         F.lead("run_id").over(w).alias("_next"))
@@ -148,7 +167,8 @@ def line_states(lines: DataFrame, mode: str = "argmax",
 
 
 def _salt_hot_orders(keys: DataFrame, states: DataFrame, threshold: int | None,
-                     salts: int) -> tuple[DataFrame, DataFrame, bool]:
+                     salts: int, sample: DataFrame | None = None
+                     ) -> tuple[DataFrame, DataFrame, bool]:
     """Spread hot orders over ``salts`` join tasks.
 
     Orders with more than about ``threshold`` line states (found on a sample,
@@ -159,11 +179,11 @@ def _salt_hot_orders(keys: DataFrame, states: DataFrame, threshold: int | None,
     """
     if threshold is None:
         return keys, states, False
-    hot_states, _ = split_hot(states.select(*ORDER_KEY), ORDER_KEY, threshold)
-    if hot_states is None:
+    hk = hot_keys(states, ORDER_KEY, threshold,
+                  sample=None if sample is None else sample.select(*ORDER_KEY))
+    if hk is None:
         return keys, states, False
-    hot = hot_states.select(*ORDER_KEY).distinct().select("*", F.lit(True).alias("_hot"))
-    hot = F.broadcast(hot)  # bounded: at most states / threshold keys, counted in split_hot
+    hot = hk.select(*ORDER_KEY, F.lit(True).alias("_hot"))
     st = (states.join(hot, ORDER_KEY, "left")
           .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("line_id"), F.lit(salts)))
                       .otherwise(F.lit(0)).cast("int")).drop("_hot"))
@@ -174,11 +194,12 @@ def _salt_hot_orders(keys: DataFrame, states: DataFrame, threshold: int | None,
 
 
 def _lines_at_touched(keys: DataFrame, states: DataFrame, how: str,
-                      hot_threshold: int | None = None, salts: int = HOT_ORDER_SALTS) -> DataFrame:
+                      hot_threshold: int | None = None, salts: int = HOT_ORDER_SALTS,
+                      sample: DataFrame | None = None) -> DataFrame:
     """Touched keys x line states valid at the key's run (equi-join on the
     order, range condition on the run).  Hot orders are salted by line so
     their states spread over ``salts`` tasks (see ``_salt_hot_orders``)."""
-    keys, states, salted = _salt_hot_orders(keys, states, hot_threshold, salts)
+    keys, states, salted = _salt_hot_orders(keys, states, hot_threshold, salts, sample)
     s = states.alias("s")
     k = keys.alias("k")
     cond = [F.col("s.key_bucket") == F.col("k.key_bucket"),
@@ -239,15 +260,21 @@ def versions_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax",
     th = header_states(headers, lines).select(
         *KEY, "is_order_deleted", F.col("occurred").alias("h_occurred"),
         F.col("received").alias("h_received"), "cust")
-    states = line_states(lines, mode)
+    # one 1% sample of the line keys serves both hot-key checks (line rows
+    # per (line, run) and per order); it is dropped once they are counted
+    sample = (lines.select(*LINE_KEY, "run_id")
+              .sample(withReplacement=False, fraction=HOT_SAMPLE_FRACTION, seed=17).persist())
+    states = line_states(lines, mode, sample=sample)
     if cut_lineage:
         th, states = _cut(th), _cut(states)
     st = states.select(
         *LINE_KEY, "valid_from", "valid_to", "is_line_deleted",
         F.col("occurred").alias("l_occurred"), F.col("received").alias("l_received"),
         "line_run_id", "prod", "amt")
-    j = _lines_at_touched(th, st, "right", hot_threshold=hot_order_states).select(
+    j = _lines_at_touched(th, st, "right", hot_threshold=hot_order_states,
+                          sample=sample).select(
         "k.run_id", "k.key_bucket", "k.order_id", "k.is_order_deleted", "k.h_occurred",
         "k.h_received", "k.cust", "s.line_id", "s.is_line_deleted", "s.l_occurred",
         "s.l_received", "s.line_run_id", "s.prod", "s.amt")
+    sample.unpersist()
     return assemble_versions(j)
