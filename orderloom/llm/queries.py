@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import secret_scan, token_counts, url_reputation
+from orderloom.llm import quality_rules, secret_scan, token_counts, url_reputation
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,13 @@ def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
                                     vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf, "documents"),
+                                 quality_rules.bad_labels(table(spark, sf, "labels")))
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept")
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"),
                                      vocabulary("piece_bpe_32k.model"), TOKEN_LIMIT)
@@ -55,6 +62,7 @@ def op8_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
+    "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op8_url_reputation": op8_url_reputation,
 }
