@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import quality_rules, secret_scan, token_counts, url_reputation
+from orderloom.llm import (quality_rules, secret_scan, simhash_groups, token_counts,
+                           url_reputation)
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,10 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
                                      vocabulary("piece_bpe_32k.model"), TOKEN_LIMIT)
 
 
+def op9_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_groups.group_documents(table(spark, sf, "documents"), shingle=3, max_bits=3)
+
+
 def page_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled page outcomes: good where quality is 1 and toxic is 0; labels
     number the crawled item, which is the page of the same number."""
@@ -65,4 +70,5 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op8_url_reputation": op8_url_reputation,
+    "op9_simhash_groups": op9_simhash_groups,
 }
