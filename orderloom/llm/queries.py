@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import (quality_rules, secret_scan, simhash_groups, token_counts,
+from orderloom.llm import (line_dedup, quality_rules, secret_scan, simhash_groups, token_counts,
                            url_reputation)
 from orderloom.llm.common import table
 
@@ -30,6 +30,11 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf, "documents")).select(
+        "row.doc_id", "text", "n_lines", "n_dropped")
+
+
 def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf, "documents"),
                                     vocabulary("byte_bpe_50k.tiktoken"))
@@ -66,6 +71,7 @@ def op8_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
