@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import (line_dedup, quality_rules, secret_scan, simhash_groups, token_counts,
+from orderloom.llm import (decontaminate, line_dedup, quality_rules, secret_scan, simhash_groups, token_counts,
                            url_reputation)
 from orderloom.llm.common import table
 
@@ -35,6 +35,15 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "row.doc_id", "text", "n_lines", "n_dropped")
 
 
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf, "documents"),
+                                             table(spark, sf, "benchmark"))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
 def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf, "documents"),
                                     vocabulary("byte_bpe_50k.tiktoken"))
@@ -72,6 +81,7 @@ def op8_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
