@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import (decontaminate, line_dedup, quality_rules, secret_scan, simhash_groups, token_counts,
-                           url_reputation)
+from orderloom.llm import (decontaminate, langid, line_dedup, packing, quality_rules, secret_scan,
+                           simhash_groups, token_counts, url_reputation)
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,19 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
                                      vocabulary("piece_bpe_32k.model"), TOKEN_LIMIT)
 
 
+def op6_langid(spark: SparkSession, sf: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    found = langid.identify(table(spark, sf, "documents"), fold != 0,
+                            vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", (~F.col("learned")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes are bytes; a cluster is a set of equal texts."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return packing.pack(table(spark, sf, "documents"), F.octet_length(text), F.xxhash64(text))
+
+
 def op9_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_groups.group_documents(table(spark, sf, "documents"), shingle=3, max_bits=3)
 
@@ -85,6 +98,8 @@ QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
+    "op6_langid": op6_langid,
     "op8_url_reputation": op8_url_reputation,
     "op9_simhash_groups": op9_simhash_groups,
+    "op10_packing": op10_packing,
 }
