@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from orderloom.llm.license_scan import TEMPLATES, template_rows
+
 OP8 = r"""
 WITH p AS (
   SELECT page_id,
@@ -33,6 +35,37 @@ SELECT page_id, host, path, rule, coalesce(rv, verdict) AS verdict
 FROM p LEFT JOIN f USING (host, path) JOIN v USING (host)
 """
 
+
+def _list(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+TEMPLATE_VALUES = ", ".join(f"({i}, '{name}', {_list(grams)})" for i, (name, grams)
+                            in enumerate(template_rows(TEMPLATES)))
+
+OP7 = rf"""
+WITH t(ord, license, tb) AS (VALUES {TEMPLATE_VALUES}),
+d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS txt,
+             string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+u AS (SELECT r, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS unit FROM d
+      UNION ALL SELECT r, -1, txt FROM d WHERE len(ls) > 1),
+w AS (SELECT r, line_no, string_split(trim(regexp_replace(
+        lower(unit), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS ws FROM u),
+b AS (SELECT r, line_no, list_distinct([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS bs
+      FROM w WHERE len(ws) > 1),
+m AS (SELECT r, line_no, license, ord, 2.0 * len(list_intersect(bs, tb)) / (len(bs) + len(tb)) AS dice
+      FROM b JOIN t ON 3 * len(bs) >= 2 * len(tb) AND 2 * len(bs) <= 3 * len(tb)),
+best AS (SELECT r, line_no, license FROM m WHERE dice >= 0.8
+         QUALIFY row_number() OVER (PARTITION BY r, line_no ORDER BY dice DESC, ord) = 1),
+g AS (SELECT r, count(*) AS n,
+             array_to_string(list_sort(list_distinct(list(license))), ',') AS licenses,
+             string_agg(license || ':' || line_no, ',' ORDER BY CASE line_no WHEN -1 THEN 1e18 ELSE line_no END)
+             AS matches FROM best GROUP BY r)
+SELECT doc_id, len(ls) AS n_lines, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses,
+       coalesce(matches, '') AS matches FROM d LEFT JOIN g USING (r)
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_license_scan": OP7,
     "op8_url_reputation": OP8,
 }

@@ -30,6 +30,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.common import cut, settled
+
 SPACE_CHARS = " \t\n\x0b\f\r"
 SPACE = r"[\x20\x09-\x0D]"
 REPEAT_WORDS = 8         # words of a repeat window
@@ -88,14 +90,6 @@ def base_counts(docs: DataFrame, text: Column) -> DataFrame:
     return df.drop("_text", "_words", "_lines", "_windows", "_sorted")
 
 
-def settled(df: DataFrame, **cols: Column) -> DataFrame:
-    """``df`` with more columns, each worked out once.  A plain projection
-    would be merged into what reads it, so that a lambda or a pushed-down
-    filter would split the text again for every element; a generator of one
-    row is not."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
-
-
 def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
@@ -187,7 +181,6 @@ def learn(docs: DataFrame, labels: DataFrame, alpha: float, delta: float, stratu
           max_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text"
           ) -> tuple[list[str], DataFrame]:
     """The lexicon and the certified cutoffs.  ``labels`` is ``(id, bad)``."""
-    from orderloom.llm.common import cut
     some = (labels.where("bad IS NOT NULL AND id IS NOT NULL")
             .orderBy(F.xxhash64("id", "bad"), "id", "bad").limit(max_labelled))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),

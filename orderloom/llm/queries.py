@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import (decontaminate, langid, line_dedup, packing, quality_rules, secret_scan,
-                           simhash_groups, token_counts, url_reputation)
+from orderloom.llm import (decontaminate, langid, license_scan, line_dedup, packing, quality_rules,
+                           secret_scan, simhash_groups, token_counts, url_reputation)
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,15 @@ def op6_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", (~F.col("learned")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    m = F.col("matches")
+    names = F.array_sort(F.array_distinct(F.transform(m, lambda x: x["license"])))
+    places = F.transform(m, lambda x: F.concat_ws(":", x["license"], x["line_no"].cast("string")))
+    return license_scan.scan_licenses(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", F.size(m).cast("long").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"), F.array_join(places, ",").alias("matches"))
+
+
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Sizes are bytes; a cluster is a set of equal texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -99,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_langid": op6_langid,
+    "op7_license_scan": op7_license_scan,
     "op8_url_reputation": op8_url_reputation,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_packing": op10_packing,
