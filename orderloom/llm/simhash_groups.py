@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import cut, map_slices
+from orderloom.llm.common import cut, map_slices, row_key
 from orderloom.llm.near_groups import near_groups, shared_buckets
 
 PIVOTS = 16
@@ -131,16 +131,39 @@ def fingerprint_groups(fps: DataFrame, max_bits: int) -> DataFrame:
                       & (F.bit_count(l("node").bitwiseXOR(r("node"))) <= max_bits)))
 
 
+def components(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, root)`` for every fingerprint in ``rows(fp)``."""
+    nodes = rows.select(F.col("fp").alias("node")).distinct()
+    roots = fingerprint_groups(nodes, max_bits)
+    return nodes.join(roots, "node", "left").select(
+        F.col("node").alias("fp"), F.coalesce("root", "node").alias("root"))
+
+
 def group_documents(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``(id, fingerprint, component_id)`` of every row of ``docs``:
     the fingerprint in 16 hex digits and the smallest id of its group."""
     rows = cut(fingerprints(docs, shingle, id_col, text_col))
-    nodes = rows.groupBy(F.col("fp").alias("node")).agg(F.min("id").alias("first"))
-    roots = fingerprint_groups(nodes.select("node"), max_bits)
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    placed = rooted.join(firsts, "root").select(F.col("node").alias("fp"), "component_id")
-    return rows.join(placed, "fp").select(
+    per = rows.groupBy("fp").agg(F.min("id").alias("first")).join(components(rows, max_bits), "fp")
+    firsts = per.groupBy("root").agg(F.min("first").alias("component_id"))
+    ids = per.join(firsts, "root").select("fp", "component_id")
+    return rows.join(ids, "fp").select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each group: that of the smallest id (a null
+    id last) and, among rows of that id, of the smallest row hash.
+
+    Keys decide; the texts move once, to meet the keys that stay.
+    """
+    key = row_key(*docs.columns)
+    keyed = docs.select(F.col(text_col).alias("text"), F.struct(
+        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), key.alias("key")).alias("place"))
+    rows = cut(fingerprints(keyed, shingle, "place", "text"))
+    per = rows.groupBy("fp").agg(F.min("id").alias("first")).join(components(rows, max_bits), "fp")
+    stay = per.groupBy("root").agg(F.min("first")["key"].alias("_key")).select("_key")
+    return (docs.withColumn("_key", key).join(stay, "_key", "left_semi")
+            .dropDuplicates(["_key"]).select(*docs.columns))
