@@ -20,16 +20,14 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from orderloom import checkpoint_dir, get_spark  # noqa: E402
 from orderloom.operators import fold  # noqa: E402
 from orderloom.plans import incremental  # noqa: E402
 from orderloom.plans.pipeline import replay_tables  # noqa: E402
 from orderloom.plans.queries import flat  # noqa: E402
 from orderloom.plans.rebuild import line_latest_all, touched_keys, versions_all  # noqa: E402
-from orderloom.plans.replay import replay_incremental, run_ids  # noqa: E402
-from orderloom.sources.feeds import replay_raw  # noqa: E402
+from orderloom.plans.replay import Replay  # noqa: E402
+from orderloom.plans.store import Store  # noqa: E402
 
 
 def _force(df):
@@ -44,14 +42,15 @@ def main() -> None:
     t = replay_tables(spark, sf_dir)
 
     plans = {
-        "replay_ingest": lambda: t.lines.unionByName(t.lines.limit(0)),
+        "replay_ingest": lambda: t.headers.unionByName(t.lines, allowMissingColumns=True),
         "touched_keys": lambda: touched_keys(t.headers, t.lines),
         "line_latest": lambda: line_latest_all(t.headers, t.lines),
         "order_versions": lambda: flat(versions_all(t.headers, t.lines)),
         "orders_latest": lambda: flat(fold.fold_latest(versions_all(t.headers, t.lines))),
         "orders_latest_strict": lambda: flat(fold.fold_latest(
             versions_all(t.headers, t.lines, "strict"))),
-        "orders_as_of": lambda: flat(fold.as_of(versions_all(t.headers, t.lines), 4)),
+        "orders_as_of": lambda: flat(fold.as_of(versions_all(
+            t.headers.where("run_id <= 4"), t.lines.where("run_id <= 4")), 4)),
         "order_previous_version": lambda: flat(fold.previous_version(
             versions_all(t.headers, t.lines), 2)),
     }
@@ -66,20 +65,19 @@ def main() -> None:
 
     # one incremental run against a prepared store
     scratch = f"{checkpoint_dir(spark).rstrip('/')}/orderloom-bench-{uuid.uuid4().hex[:12]}"
-    runs = run_ids(spark, sf_dir)
-    store = replay_incremental(spark, sf_dir, f"{scratch}/store", runs=runs[:-1],
-                               compact_every=len(runs) - 1)
-    rh, rl = replay_raw(spark, sf_dir)
-    last = runs[-1]
+    replay, store = Replay(spark, sf_dir, f"{scratch}/feeds"), Store(spark, f"{scratch}/store")
+    *before, last = replay.runs
+    for r in before:
+        incremental.process_run(store, r, *replay.raw(r), compact_every=len(before))
     t0 = time.time()
-    incremental.process_run(store, last, rh.where(F.col("run_id") == last),
-                            rl.where(F.col("run_id") == last), compact_every=None)
+    touched = incremental.process_run(store, last, *replay.raw(last), compact_every=None)
     _force(incremental.latest(store))
     times["incremental_run"] = round(time.time() - t0, 3)
+    rows = {"headers": t.headers.count(), "lines": t.lines.count(), "touched_by_last_run": touched}
 
     print(json.dumps({"metric": "orderloom_headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")),
-                      "cpus": cpus}))
+                      "cpus": cpus, "rows": rows}))
     spark.stop()
 
 

@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 from orderloom.functions.exprs import line_struct, micros, seq_struct
 from orderloom.operators.latest import KEY
 
-VERSION_COLS = ["run_id", "key_bucket", "order_id", "occurred", "received",
-                "is_order_deleted", "cust", "line_cnt", "lines", "seq"]
-
 
 def _line_aggs() -> list:
     live = ~F.col("is_line_deleted")

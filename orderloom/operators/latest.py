@@ -30,8 +30,6 @@ KEY = ["run_id", *ORDER_KEY]
 LINE_KEY = [*ORDER_KEY, "line_id"]
 LINE_LATEST_COLS = ["run_id", *LINE_KEY, "is_line_deleted", "occurred",
                     "received", "line_run_id", "prod", "amt"]
-HEADER_LATEST_COLS = ["run_id", *ORDER_KEY, "is_order_deleted", "occurred",
-                      "received", "cust"]
 
 
 # --- touched keys -------------------------------------------------------------

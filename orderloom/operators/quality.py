@@ -9,14 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: the constraints of the original pipeline ---------------
+# The predicates are fixed values (they decide what is dropped); the names are ours.
 HEADER_EXPECTATIONS = {
     "valid_header_received": "hid IS NOT NULL AND hdate IS NOT NULL AND hcust IS NOT NULL",
 }
 LINE_EXPECTATIONS = {
     "valid_line_received": "hid IS NOT NULL AND lid IS NOT NULL",
 }
-# --- end of fixed values ---------------------------------------------------
 
 EXPECTATIONS = {"header": HEADER_EXPECTATIONS, "line": LINE_EXPECTATIONS}
 

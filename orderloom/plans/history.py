@@ -5,15 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.fold import fold_latest, live
 from orderloom.sources.feeds import scan_glob
 
 
-def latest(state_or_versions: DataFrame, folded: bool = True) -> DataFrame:
-    """Latest orders: the live rows of the folded state (or fold versions)."""
-    return live(state_or_versions) if folded else fold_latest(state_or_versions)
-
-
 def history_sorted(versions: DataFrame) -> DataFrame:
     """Full version history: bucket, order, newest event/arrival/run first."""
     return versions.orderBy(F.col("key_bucket"), F.col("order_id"),
@@ -44,11 +38,14 @@ def lines_summary(latest_df: DataFrame) -> DataFrame:
 
 
 def records_as_json(spark, pattern: str) -> DataFrame:
-    """Every ingested file's records as JSON text, ordered by the scenario
-    number in the file name, then the file."""
+    """Every ingested file's records as JSON text, with the feed and the run
+    number that the path names (``.../SOH_<run>/...`` or ``.../SOH_<run>.json``),
+    ordered by run number, then file."""
     df = scan_glob(spark, pattern)
     data_cols = [c for c in df.columns if c not in ("source_file", "file_mtime")]
+    named = r"(SO[HL])_([0-9]+)(?:\.json|/[^/]+)$"
     return (df.select(F.col("source_file").alias("file_name"),
+                      F.regexp_extract("source_file", named, 1).alias("feed"),
+                      F.expr(f"try_cast(regexp_extract(source_file, r'{named}', 2) AS bigint)").alias("run_id"),
                       F.to_json(F.struct(*data_cols)).alias("json_string"))
-            .orderBy(F.regexp_replace("file_name", r"^.+/SO[HL]_([^./]+)(\.json|/.*)$", "$1"),
-                     "file_name"))
+            .orderBy("run_id", "file_name"))

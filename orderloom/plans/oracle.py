@@ -23,13 +23,26 @@ hf AS (
          c_name || '*', d + to_days(CAST(400 + k % 13 AS INTEGER)) FROM hsrc WHERE k % 3 = 0
   UNION ALL
   SELECT 'O' || k, d, 'C' || ck, c_name || '#', d + to_days(CAST(1 + k % 13 AS INTEGER))
-  FROM hsrc WHERE k % 7 = 0),
-lf AS (
-  SELECT 'O' || l_orderkey AS hid, 'L' || l_linenumber AS lid, l_shipdate AS ldate,
+  FROM hsrc WHERE k % 7 = 0
+  UNION ALL
+  SELECT 'O' || k, d, NULL, c_name, d + to_days(CAST(k % 13 AS INTEGER)) FROM hsrc WHERE k % 83 = 0
+  UNION ALL
+  SELECT 'O' || k, NULL, 'C' || ck, c_name, d + to_days(CAST(k % 13 AS INTEGER)) FROM hsrc WHERE k % 89 = 0
+  UNION ALL
+  SELECT NULL, d, 'C' || ck, c_name, d + to_days(CAST(k % 13 AS INTEGER)) FROM hsrc WHERE k % 97 = 0),
+lf0 AS (
+  SELECT l_orderkey AS k, l_linenumber AS n, 'O' || l_orderkey AS hid, 'L' || l_linenumber AS lid,
+         CASE WHEN l_orderkey % 101 = 0 AND l_linenumber = 2 THEN NULL ELSE l_shipdate END AS ldate,
          'P' || l_partkey AS prod,
-         CAST(CASE WHEN l_returnflag = 'R' AND l_quantity <= 10 THEN 0.0 ELSE l_quantity END AS DOUBLE) AS amt,
+         CAST(CASE WHEN l_returnflag = 'R' AND l_quantity <= 10 THEN 0.0
+                   WHEN l_orderkey % 103 = 0 AND l_linenumber = 1 THEN 0.5
+                   WHEN l_orderkey % 107 = 0 THEN l_quantity + 0.75 ELSE l_quantity END AS DOUBLE) AS amt,
          l_shipdate + to_days(CAST(l_suppkey % 97 AS INTEGER)) AS received
   FROM lineitem),
+lf AS (
+  SELECT hid, lid, ldate, prod, amt, received FROM lf0
+  UNION ALL SELECT hid, NULL, ldate, prod, amt, received FROM lf0 WHERE k % 97 = 0 AND n = 1
+  UNION ALL SELECT NULL, lid, ldate, prod, amt, received FROM lf0 WHERE k % 89 = 0 AND n = 1),
 rh_all AS (
   SELECT CAST(year(received) - 1994 AS BIGINT) AS run_id,
          coalesce(TRY_CAST(regexp_replace(hid, '[^0-9]', '', 'g') AS BIGINT), 0) // 1000 AS key_bucket,
@@ -173,8 +186,11 @@ SELECT 'raw_lines', 'valid_line_received', count(*),
        count(*) FILTER (WHERE NOT (hid IS NOT NULL AND lid IS NOT NULL))
 FROM rl_all""",
         "quarantine": base + """
-SELECT run_id, hid, lid, 'valid_line_received' AS failed FROM rl_all
-WHERE NOT coalesce(hid IS NOT NULL AND lid IS NOT NULL, false)""",
+SELECT run_id, 'line' AS feed, hid, lid, 'valid_line_received' AS failed FROM rl_all
+WHERE NOT coalesce(hid IS NOT NULL AND lid IS NOT NULL, false)
+UNION ALL
+SELECT run_id, 'header', hid, NULL, 'valid_header_received' FROM rh_all
+WHERE NOT coalesce(hid IS NOT NULL AND hdate IS NOT NULL AND hcust IS NOT NULL, false)""",
         "ingest_headers": base + "\nSELECT * FROM H",
         "ingest_lines": base + "\nSELECT * FROM L",
         "touched_keys": base + "\nSELECT * FROM T",
@@ -217,7 +233,14 @@ QUALIFY row_number() OVER (PARTITION BY key_bucket, order_id
 SELECT {_VCOLS}, CAST(2 AS INTEGER) AS version_rank FROM V
 QUALIFY row_number() OVER (PARTITION BY key_bucket, order_id
                            ORDER BY occurred_us DESC, received_us DESC, line_run_id_s DESC, run_id_s DESC) = 2""",
-        "order_history_sorted": full + f"\nSELECT {_VCOLS} FROM V",
+        "order_history_sorted": full + f"""
+SELECT {_VCOLS}, row_number() OVER (PARTITION BY key_bucket, order_id
+                                    ORDER BY occurred DESC, received DESC, run_id DESC) AS place FROM V""",
+        "records_as_json": base + """
+SELECT run_id, 'SOH' AS feed, hid, CAST(NULL AS VARCHAR) AS lid, hdate AS event_time, hcust, hcustname,
+       CAST(NULL AS VARCHAR) AS prod, CAST(NULL AS DOUBLE) AS amt, received FROM rh_all
+UNION ALL
+SELECT run_id, 'SOL', hid, lid, ldate, NULL, NULL, prod, amt, received FROM rl_all""",
         "touched_per_run": base + """
 SELECT run_id, count(*) AS touched_orders, count(DISTINCT key_bucket) AS touched_buckets
 FROM T GROUP BY run_id""",

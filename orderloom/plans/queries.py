@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.exprs import lines_text, seq_string
@@ -76,8 +76,12 @@ def q_expectation_counts(spark, sf):
 
 def q_quarantine(spark, sf):
     t = _t(spark, sf)
-    return (quarantine(t.raw_lines_all, LINE_EXPECTATIONS)
-            .select("run_id", "hid", "lid", F.array_join("failed", ",").alias("failed")))
+    failed = F.array_join("failed", ",").alias("failed")
+    lines = quarantine(t.raw_lines_all, LINE_EXPECTATIONS).select(
+        "run_id", F.lit("line").alias("feed"), "hid", "lid", failed)
+    headers = quarantine(t.raw_headers_all, HEADER_EXPECTATIONS).select(
+        "run_id", F.lit("header").alias("feed"), "hid", F.lit(None).cast("string").alias("lid"), failed)
+    return lines.unionByName(headers)
 
 
 def q_ingest_headers(spark, sf):
@@ -162,7 +166,9 @@ def q_orders_latest_window(spark, sf):
 
 
 def q_orders_as_of(spark, sf):
-    return flat(fold.as_of(_versions(spark, sf), AS_OF_RUN))
+    t = _t(spark, sf)
+    early = F.col("run_id") <= AS_OF_RUN     # before any state is built
+    return flat(fold.as_of(rebuild.versions_all(t.headers.where(early), t.lines.where(early)), AS_OF_RUN))
 
 
 def q_order_previous_version(spark, sf):
@@ -170,7 +176,9 @@ def q_order_previous_version(spark, sf):
 
 
 def q_order_history_sorted(spark, sf):
-    return flat(history.history_sorted(_versions(spark, sf)))
+    w = Window.partitionBy("key_bucket", "order_id").orderBy(
+        F.desc("occurred"), F.desc("received"), F.desc("run_id"))
+    return flat(history.history_sorted(_versions(spark, sf).withColumn("place", F.row_number().over(w))))
 
 
 def q_touched_per_run(spark, sf):
@@ -223,12 +231,21 @@ def q_stream_latest(spark, sf):
 
 def q_records_as_json(spark, sf):
     """Every record of the feed files as JSON text with its file (both feed
-    folders read at once through a glob; the inferred schemas are unioned)."""
-    from orderloom.plans.replay import export_run_json, run_ids
+    folders read at once through a glob), in the order of the run numbers in
+    the paths, and read back into typed columns."""
+    from orderloom.plans.replay import Replay
     root = _scratch(spark, "files")
-    for r in run_ids(spark, sf):
-        export_run_json(spark, sf, root, r)
-    return history.records_as_json(spark, f"{root}/SO*/*")
+    replay = Replay(spark, sf, f"{root}/feeds")
+    for r in replay.runs:
+        replay.export_json(f"{root}/in", r)
+    text = history.records_as_json(spark, f"{root}/in/SO*/*")
+    fields = F.from_json("json_string", "HID string, LID string, HDATE timestamp_ntz, LDATE timestamp_ntz, "
+                         "HCUST string, HCUSTNAME string, PROD string, AMT double, RECEIVED timestamp_ntz")
+    return text.select("run_id", "feed", fields.alias("r")).select(
+        "run_id", "feed", F.col("r.HID").alias("hid"), F.col("r.LID").alias("lid"),
+        F.coalesce("r.HDATE", "r.LDATE").alias("event_time"), F.col("r.HCUST").alias("hcust"),
+        F.col("r.HCUSTNAME").alias("hcustname"), F.col("r.PROD").alias("prod"),
+        F.col("r.AMT").alias("amt"), F.col("r.RECEIVED").alias("received"))
 
 
 QUERIES: dict[str, Query] = {

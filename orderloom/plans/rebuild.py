@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.operators.assemble import assemble_versions, order_lines
+from orderloom.operators.assemble import assemble_versions
 from orderloom.operators.latest import (KEY, LINE_KEY, LINE_LATEST_COLS,
                                         argmax_line_struct, header_partials,
                                         header_state)
@@ -223,22 +223,30 @@ def header_latest_ts_all(headers: DataFrame, lines: DataFrame) -> DataFrame:
     return header_latest_all(headers, lines).select(*KEY, "occurred")
 
 
-def line_latest_ts_all(headers: DataFrame, lines: DataFrame) -> DataFrame:
+def line_latest_ts_all(headers: DataFrame, lines: DataFrame,
+                       hot_order_states: int | None = HOT_ORDER_STATES) -> DataFrame:
     keys = touched_keys(headers, lines)
-    j = _lines_at_touched(keys, line_states(lines, "maxima"), "inner")
+    j = _lines_at_touched(keys, line_states(lines, "maxima"), "inner", hot_order_states,
+                          sample=line_sample(lines))
     return j.select("k.run_id", "k.key_bucket", "k.order_id", "s.line_id", "s.occurred",
                     "s.received", "s.line_run_id")
 
 
-def line_latest_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax") -> DataFrame:
-    keys = touched_keys(headers, lines)
-    j = _lines_at_touched(keys, line_states(lines, mode), "inner")
+def line_latest_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax",
+                    hot_order_states: int | None = HOT_ORDER_STATES) -> DataFrame:
+    """Current lines of every touched order at every run; hot orders are
+    salted by line as in ``versions_all``."""
+    keys, sample = touched_keys(headers, lines), line_sample(lines)
+    j = _lines_at_touched(keys, line_states(lines, mode, sample=sample), "inner", hot_order_states,
+                          sample=sample)
     return j.select("k.run_id", "k.key_bucket", "k.order_id",
                     *[f"s.{c}" for c in LINE_LATEST_COLS[3:]])
 
 
-def order_lines_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax") -> DataFrame:
-    return order_lines(line_latest_all(headers, lines, mode))
+def line_sample(lines: DataFrame) -> DataFrame:
+    """A 1% sample of the line keys, for the hot-key checks; it only routes."""
+    return (lines.select(*LINE_KEY, "run_id")
+            .sample(withReplacement=False, fraction=HOT_SAMPLE_FRACTION, seed=17))
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -262,8 +270,7 @@ def versions_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax",
         F.col("received").alias("h_received"), "cust")
     # one 1% sample of the line keys serves both hot-key checks (line rows
     # per (line, run) and per order); it is dropped once they are counted
-    sample = (lines.select(*LINE_KEY, "run_id")
-              .sample(withReplacement=False, fraction=HOT_SAMPLE_FRACTION, seed=17).persist())
+    sample = line_sample(lines).persist()
     states = line_states(lines, mode, sample=sample)
     if cut_lineage:
         th, states = _cut(th), _cut(states)

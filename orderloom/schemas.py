@@ -36,32 +36,6 @@ LINE_FEED = T.StructType([
     T.StructField("AMT", T.DoubleType()),
 ])
 
-# Lower-case working names of the feed columns.
-HEADER_COLS = ["hid", "hdate", "hcust", "hcustname"]
-LINE_COLS = ["hid", "lid", "ldate", "prod", "amt"]
-
-CUST = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("name", T.StringType()),
-])
-
-LINE = T.StructType([
-    T.StructField("line_id", T.StringType()),
-    T.StructField("occurred", T.TimestampNTZType()),
-    T.StructField("received", T.TimestampNTZType()),
-    T.StructField("line_run_id", T.LongType()),
-    T.StructField("run_id", T.LongType()),
-    T.StructField("prod", T.StringType()),
-    T.StructField("amt", T.LongType()),
-])
-
-SEQ = T.StructType([
-    T.StructField("occurred_us", T.LongType()),
-    T.StructField("received_us", T.LongType()),
-    T.StructField("line_run_id", T.LongType()),
-    T.StructField("run_id", T.LongType()),
-])
-
 # Key of an order everywhere; joins always carry the bucket (partition
 # pruning) and the id.
 ORDER_KEY = ["key_bucket", "order_id"]

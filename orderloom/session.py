@@ -61,12 +61,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (local runs, tests) a fresh scratch folder is created and set.
+    Uses ``spark.checkpoint.dir`` when the cluster names one; only a local
+    master gets a fresh scratch folder.  On a cluster without the setting this
+    is an error: executors would write to their own disks.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local") or \
+            spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="orderloom-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -2,6 +2,5 @@
 derived from the given base tables, and file ledgers."""
 
 from orderloom.sources.feeds import (  # noqa: F401
-    read_feed, stream_feed, read_feed_evolving, widen, replay_feed, stamp_raw,
-    scan_glob,
+    read_feed, stream_feed, replay_feed, stamp_raw, scan_glob,
 )

@@ -1,10 +1,9 @@
 """Change-feed sources.
 
 * ``read_feed`` / ``stream_feed``: JSON lines files with fixed schema hints
-  (batch and Structured Streaming); malformed records become all-NULL rows
-  that the expectations then drop.
-* ``read_feed_evolving``: keeps unknown columns (schema evolution) in a
-  VARIANT column next to the hinted ones.
+  (batch and Structured Streaming); columns that the hints do not name stay in
+  the VARIANT column ``extra``, and malformed records become rows without
+  hinted values that the expectations then drop.
 * ``replay_feed``: both feeds derived, with their run ids and arrival times,
   from the ``orders``/``customer``/``lineitem`` tables - a pure DataFrame job
   whose size grows with the tables.
@@ -14,8 +13,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,15 +34,17 @@ def _with_file(df: DataFrame) -> DataFrame:
                      .cast("timestamp_ntz").alias("file_mtime"))
 
 
-def read_feed(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str | list[str], kind: str,
+              received_field: str | None = None) -> DataFrame:
     """Batch read of a JSON-lines feed with the schema hints of ``kind``.
 
-    PERMISSIVE: a malformed record (e.g. a file holding ``//``) yields an
-    all-NULL row and does not fail the read.
+    Each record is read as one VARIANT ``extra``; the hinted columns are
+    extracted with their types, unknown ones stay in it
+    (``variant_get(extra, '$.X', 'int')``).  A malformed record (e.g. a file
+    holding ``//``) does not fail the read.
     """
-    df = (spark.read.schema(FEEDS[kind]).option("mode", "PERMISSIVE")
-          .json(path))
-    return _lower(_with_file(df))
+    raw = spark.read.option("singleVariantColumn", "extra").json(path)
+    return _from_variant(raw, feed_schema(kind, received_field))
 
 
 def feed_schema(kind: str, received_field: str | None = None) -> T.StructType:
@@ -59,18 +58,13 @@ def feed_schema(kind: str, received_field: str | None = None) -> T.StructType:
 
 def stream_feed(spark: SparkSession, path: str, kind: str,
                 max_files: int = MAX_FILES_PER_TRIGGER,
-                received_field: str | None = None, evolve: bool = False) -> DataFrame:
-    """Incremental read: every new file of the folder (or glob) once, at most
-    ``max_files`` files per micro-batch; existing files are included.
-
-    ``evolve``: keep columns the hints do not name (each record as one
-    VARIANT ``extra``, hinted columns extracted with their types)."""
-    r = spark.readStream.option("maxFilesPerTrigger", max_files)
-    if evolve:
-        raw = r.option("singleVariantColumn", "extra").schema("extra variant").json(path)
-        return _from_variant(raw, feed_schema(kind, received_field))
-    df = r.schema(feed_schema(kind, received_field)).option("mode", "PERMISSIVE").json(path)
-    return _lower(_with_file(df))
+                received_field: str | None = None) -> DataFrame:
+    """Incremental read like ``read_feed``: every new file of the folder (or
+    glob) once, at most ``max_files`` files per micro-batch; existing files
+    are included."""
+    raw = (spark.readStream.option("maxFilesPerTrigger", max_files)
+           .option("singleVariantColumn", "extra").schema("extra variant").json(path))
+    return _from_variant(raw, feed_schema(kind, received_field))
 
 
 def _from_variant(raw: DataFrame, schema: T.StructType) -> DataFrame:
@@ -81,22 +75,6 @@ def _from_variant(raw: DataFrame, schema: T.StructType) -> DataFrame:
                       .alias("file_mtime"))
 
 
-def read_feed_evolving(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
-    """Read keeping columns the hints do not name.
-
-    Each record is read as one VARIANT; the hinted columns are extracted with
-    their types and the whole record stays in ``extra`` so unknown columns
-    pass through (``variant_get(extra, '$.X', 'int')``).
-    """
-    raw = spark.read.option("singleVariantColumn", "extra").json(path)
-    return _from_variant(raw, FEEDS[kind])
-
-
-def widen(dfs: list[DataFrame]) -> DataFrame:
-    """Union of feeds whose column sets grew over time (missing -> NULL)."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
-
-
 def scan_glob(spark: SparkSession, pattern: str) -> DataFrame:
     """Ad-hoc JSON scan over a glob (both feed folders at once, union of the
     inferred schemas) with the file of each record."""
@@ -138,7 +116,11 @@ def replay_feed(spark: SparkSession, sf_dir: str, run_base_year: int = 1994
     header; every third an *edit* 400 days later (every thirtieth a *delete*,
     empty customer); every seventh a *same-day correction*.  Line feed: every
     ``lineitem`` row; a returned line of quantity <= 10 arrives as a delete
-    (amount 0).  Arrival times are derived from the keys, and the run of a
+    (amount 0).  Some records have faults, by key: header records without a
+    customer (83), a date (89) or an order (97), line records without a line
+    (97) or an order (89), all to be rejected; second lines without a date
+    (101), first lines of amount 0.5 (103, a delete once truncated) and lines
+    of fractional amounts (107).  Arrival times are derived from the keys, and the run of a
     record is its arrival year minus ``run_base_year``.
 
     Returns ``(header_feed, line_feed)`` with the feed columns plus
@@ -157,8 +139,8 @@ def replay_feed(spark: SparkSession, sf_dir: str, run_base_year: int = 1994
     cust = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
     day = F.col("o_orderdate")
 
-    def rec(hdate, hcust, hname, received):
-        return F.struct(hdate.alias("hdate"), hcust.alias("hcust"),
+    def rec(hdate, hcust, hname, received, hid=hid):
+        return F.struct(hid.alias("hid"), hdate.alias("hdate"), hcust.alias("hcust"),
                         hname.alias("hcustname"), received.alias("received"))
 
     versions = F.array(
@@ -169,22 +151,35 @@ def replay_feed(spark: SparkSession, sf_dir: str, run_base_year: int = 1994
                                _days(day, 400 + k % 13))),
         F.when(k % 7 == 0, rec(day, cust, F.concat(F.col("c_name"), F.lit("#")),
                                _days(day, 1 + k % 13))),
+        F.when(k % 83 == 0, rec(day, F.lit(None).cast("string"), F.col("c_name"), _days(day, k % 13))),
+        F.when(k % 89 == 0, rec(F.lit(None).cast("timestamp_ntz"), cust, F.col("c_name"),
+                                _days(day, k % 13))),
+        F.when(k % 97 == 0, rec(day, cust, F.col("c_name"), _days(day, k % 13),
+                                F.lit(None).cast("string"))),
     )
     headers = (orders.where(k % 11 != 0)
                .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-               .select(hid.alias("hid"),
-                       F.inline(F.filter(versions, lambda v: v.isNotNull())))
+               .select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
                .withColumn("run_id", (F.year("received") - run_base_year).cast("bigint"))
                .withColumn("source_file", F.format_string("replay/SOH_%d.json", F.col("run_id"))))
 
-    q = F.col("l_quantity")
+    q, order, number = F.col("l_quantity"), F.col("l_orderkey"), F.col("l_linenumber")
+    hid = F.concat(F.lit("O"), order.cast("string"))
+    lid = F.concat(F.lit("L"), number.cast("string"))
+    none = F.lit(None).cast("string")
+    amt = (F.when((F.col("l_returnflag") == "R") & (q <= 10), F.lit(0.0))
+           .when((order % 103 == 0) & (number == 1), F.lit(0.5))
+           .when(order % 107 == 0, q + 0.75).otherwise(q).cast("double"))
+    ids = F.filter(F.array(
+        F.struct(hid.alias("hid"), lid.alias("lid")),
+        F.when((order % 97 == 0) & (number == 1), F.struct(hid.alias("hid"), none.alias("lid"))),
+        F.when((order % 89 == 0) & (number == 1), F.struct(none.alias("hid"), lid.alias("lid")))),
+        lambda x: x.isNotNull())
     lines = (lineitem.select(
-        F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("hid"),
-        F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("lid"),
-        F.col("l_shipdate").alias("ldate"),
+        F.inline(ids),
+        F.when((order % 101 != 0) | (number != 2), F.col("l_shipdate")).alias("ldate"),
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("prod"),
-        F.when((F.col("l_returnflag") == "R") & (q <= 10), F.lit(0.0))
-         .otherwise(q).cast("double").alias("amt"),
+        amt.alias("amt"),
         _days(F.col("l_shipdate"), F.col("l_suppkey") % 97).alias("received"))
         .withColumn("run_id", (F.year("received") - run_base_year).cast("bigint"))
         .withColumn("source_file", F.format_string("replay/SOL_%d.json", F.col("run_id"))))

@@ -8,9 +8,8 @@ from orderloom.plans import incremental
 from orderloom.plans.pipeline import replay_tables
 from orderloom.plans.queries import flat
 from orderloom.plans.rebuild import versions_all
-from orderloom.plans.replay import replay_incremental, run_ids
+from orderloom.plans.replay import Replay, replay_incremental
 from orderloom.plans.store import Store
-from orderloom.sources.feeds import replay_raw
 
 
 def _same(a, b):
@@ -28,19 +27,35 @@ def test_incremental_equals_rebuild(spark, sf_small, tmp_path, mode):
     assert _same(flat(incremental.latest(store, upto=2)), flat(as_of(reb, 2)))
 
 
-def test_retried_run_changes_nothing(spark, sf_small, tmp_path):
+@pytest.mark.parametrize("which", [1, 2, 3])
+def test_run_again_changes_nothing(spark, sf_small, tmp_path, which):
+    """Any run again with the same records, bases before and after it."""
     root = str(tmp_path / "st")
-    runs = run_ids(spark, sf_small)
-    store = replay_incremental(spark, sf_small, root, runs=runs[:3])
-    before = flat(store.read("versions"))
-    before_rows = before.collect()
-    rh, rl = replay_raw(spark, sf_small)
-    r = runs[2]
-    incremental.process_run(store, r, rh.where(F.col("run_id") == r),
-                            rl.where(F.col("run_id") == r), compact_every=None)
-    after = flat(Store(spark, root).read("versions"))
-    assert sorted(map(str, after.collect())) == sorted(map(str, before_rows))
-    assert store.done_runs() == runs[:3]
+    replay = Replay(spark, sf_small, f"{root}/_replay")
+    store = Store(spark, root)
+    for r in replay.runs[:4]:
+        incremental.process_run(store, r, *replay.raw(r), compact_every=2)
+    content = lambda s: [sorted(map(str, flat(x).collect())) for x in (
+        s.read("versions"), incremental.latest(s), incremental.latest(s, upto=replay.runs[1]))]
+    before = content(store)
+    r = replay.runs[which]
+    incremental.process_run(store, r, *replay.raw(r), compact_every=2)
+    assert content(Store(spark, root)) == before
+    assert store.done_runs() == replay.runs[:4]
+
+
+def test_older_run_with_more_records_reaches_later_runs(spark, sf_small, tmp_path):
+    root = str(tmp_path / "st")
+    replay = Replay(spark, sf_small, f"{root}/_replay")
+    store, plain = Store(spark, root), Store(spark, f"{root}2")
+    runs = replay.runs[:3]
+    for r in runs:
+        h, l = replay.raw(r)
+        incremental.process_run(store, r, h, l.limit(0) if r == runs[1] else l, compact_every=1)
+        incremental.process_run(plain, r, h, l, compact_every=None)
+    incremental.process_run(store, runs[1], *replay.raw(runs[1]), compact_every=1)
+    for read in (lambda s: s.read("versions"), incremental.latest):
+        assert _same(flat(read(store)), flat(read(plain)))
 
 
 def test_latest_independent_of_run_split(spark, sf_small):

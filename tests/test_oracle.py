@@ -53,4 +53,13 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) <= {"stream_latest", "records_as_json"}
+    trained = {q for q in E.queries() if q == "pipeline" or q[:2] == "op"}   # see tests/llm
+    assert set(E.queries()) - trained <= set(E.oracle_sql())
+
+
+def test_faulty_records_reach_the_quality_queries(spark, sf_small):
+    n = {q: E.queries()[q](spark, sf_small).count() for q in (
+        "replay_headers", "expect_headers", "replay_lines", "expect_lines")}
+    assert n["expect_headers"] < n["replay_headers"] and n["expect_lines"] < n["replay_lines"]
+    feeds = {r.feed for r in E.queries()["quarantine"](spark, sf_small).collect()}
+    assert feeds == {"header", "line"}

@@ -25,6 +25,16 @@ def _feed():
     return headers, lines
 
 
+def test_hot_order_salted_in_the_line_queries(spark):
+    from orderloom.plans.rebuild import line_latest_all, line_latest_ts_all
+    h, l = ingested(spark, *_feed())
+    for f, kw in ((line_latest_ts_all, {}), (line_latest_all, {}), (line_latest_all, {"mode": "strict"})):
+        plain = sorted(map(str, f(h, l, hot_order_states=None, **kw).collect()))
+        df = f(h, l, hot_order_states=1000, **kw)
+        assert "_salt" in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, df.collect())) == plain
+
+
 def test_hot_order_salted(spark):
     h_rows, l_rows = _feed()
     h, l = ingested(spark, h_rows, l_rows)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from orderloom.operators.fold import fold_latest, purge_tombstones, tombstones
 from orderloom.plans import history, incremental
 from orderloom.plans.replay import replay_incremental
-from orderloom.sources.files import changed_files, read_ledger, record_files
+from orderloom.plans.store import Store
+from orderloom.sources.files import changed_files, read_ledger, record_files, rewritten_files
 from tests.scenarios import drop_scenario
 
 
@@ -27,7 +28,9 @@ def test_changed_files(spark, tmp_path):
     first = changed_files(spark, pattern, None)
     assert first.count() == 2
     record_files(first, f"{root}/_ledger")
-    assert changed_files(spark, pattern, read_ledger(spark, f"{root}/_ledger")).count() == 0
+    store = Store(spark, root)
+    assert read_ledger(store, "_none") is None
+    assert changed_files(spark, pattern, read_ledger(store, "_ledger")).count() == 0
     # rewrite one file in place with a later mtime, add another
     p = os.path.join(root, "SOH", "SOH_1.json")
     with open(p, "w") as f:
@@ -35,8 +38,15 @@ def test_changed_files(spark, tmp_path):
     os.utime(p, (time.time() + 5, time.time() + 5))
     drop_scenario(root, 2)
     got = {r.file_path.rsplit("/", 1)[1]
-           for r in changed_files(spark, pattern, read_ledger(spark, f"{root}/_ledger")).collect()}
+           for r in changed_files(spark, pattern, read_ledger(store, "_ledger")).collect()}
     assert got == {"SOH_1.json", "SOH_2.json", "SOL_2.json"}
+    again = rewritten_files(spark, pattern, read_ledger(store, "_ledger")).collect()
+    assert [r.file_path.rsplit("/", 1)[1] for r in again] == ["SOH_1.json"]
+    os.makedirs(f"{root}/_broken")
+    with open(f"{root}/_broken/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        read_ledger(store, "_broken").count()
 
 
 def test_lookup_reads_shards(store):
@@ -52,17 +62,56 @@ def test_lookup_reads_shards(store):
 def test_expectation_report(store):
     rep = incremental.expectation_report(store).collect()
     assert {r.feed for r in rep} == {"header", "line"}
-    assert all(r.failed_records == 0 and r.passed_records == r.input_records for r in rep)
+    assert all(r.passed_records == r.input_records - r.failed_records for r in rep)
+    assert {r.feed for r in rep if r.failed_records} == {"header", "line"}
 
 
 def test_metadata(store):
     info = {r.table: r.properties for r in store.table_info().collect()}
     assert info["raw_headers"]["Quality"] == "Bronze" and info["headers"]["HasPII"] == "MayBe"
+    store.register(prefix="t_meta_")
+    spark = store.spark
+    assert spark.table("t_meta_versions").count() == store.read("versions").count()
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES t_meta_headers").collect()}
+    assert props["Quality"] == "Silver"
+    assert any("typed and renamed" in str(r) for r in spark.sql("DESCRIBE EXTENDED t_meta_headers").collect())
+    for name in ("raw_headers", "raw_lines", "headers", "lines", "touched_keys", "versions"):
+        spark.sql(f"DROP TABLE IF EXISTS t_meta_{name}")
     cols = {r.col_name: r.data_type for r in store.describe("versions").collect()}
     assert cols["lines"].startswith("array<struct<line_id:string")
     assert "shard" in {r.col_name for r in store.describe("latest").collect()}
 
 
+def test_many_runs_are_read_by_range(store, monkeypatch):
+    from orderloom.plans import store as S
+    runs = store.done_runs()
+    some = [r for r in runs if r != runs[2]]
+    few = [sorted(map(str, store.read("headers", runs=x).collect())) for x in (None, some)]
+    monkeypatch.setattr(S, "DIRECT_READ_MAX_RUNS", 0)
+    assert [sorted(map(str, store.read("headers", runs=x).collect())) for x in (None, some)] == few
+
+
+def test_shuffled_keys_give_the_same_versions(spark, sf_small, tmp_path, store, monkeypatch):
+    monkeypatch.setattr(incremental, "BROADCAST_KEYS_MAX_ROWS", 0)
+    other = replay_incremental(spark, sf_small, str(tmp_path / "st"), compact_every=3)
+    assert sorted(map(str, other.read("versions").collect())) == \
+        sorted(map(str, store.read("versions").collect()))
+
+
+def test_empty_retry_clears_the_run(spark, sf_small, tmp_path):
+    from orderloom.plans.replay import Replay
+    root = str(tmp_path / "st")
+    replay = Replay(spark, sf_small, f"{root}/_replay")
+    s = Store(spark, root)
+    for r in replay.runs[:2]:
+        incremental.process_run(s, r, *replay.raw(r), compact_every=None)
+    last = replay.runs[1]
+    h, l = replay.raw(last)
+    incremental.process_run(s, last, h.limit(0), l.limit(0), compact_every=None)
+    assert s.read("versions", runs=[last]).count() == s.read("lines", runs=[last]).count() == 0
+    assert s.read("versions").count() > 0
+
+
 def test_purge_tombstones(store):
     state = incremental.latest_state(store)
     n_dead = tombstones(state).count()
@@ -83,6 +132,8 @@ def test_records_as_json(spark, tmp_path):
     names = [r.file_name.rsplit("/", 1)[1] for r in rows]
     # ordered by scenario number, then file; the malformed file is a corrupt record
     assert names[:3] == ["SOH_1.json", "SOL_1.json", "SOL_1.json"]
+    assert [r.run_id for r in rows] == sorted(r.run_id for r in rows)
+    assert {r.feed for r in rows} == {"SOH", "SOL"}
     assert any('"HID":"29H99"' in r.json_string for r in rows)
     assert any("_corrupt_record" in r.json_string for r in rows)
 
