@@ -21,6 +21,7 @@ ties go to the first language in alphabetical order; repeated rows count.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -72,44 +73,60 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Lattice:
-    """All segmentations of a batch of words, as arcs between letters."""
+    """All segmentations of a batch of words, as arcs between letters.
+
+    Substrings of all words are hashed length by length (64 bits) and looked
+    up among the hashes of the pieces of that length.
+    """
 
     def __init__(self, pieces: list[str]):
         self.n_pieces = len(pieces)      # and one more for letters they lack
-        self.table: dict[str, int] = {}  # piece -> number; -1: begins a piece only
+        by_size: dict[int, list[int]] = {}
         for k, p in enumerate(pieces):
-            for j in range(1, len(p)):
-                self.table.setdefault(p[:j], -1)
-        self.table.update((p, k) for k, p in enumerate(pieces))
+            by_size.setdefault(len(p), []).append(k)
+        self.tables = {}                 # length -> sorted hashes, their pieces
+        for size, numbers in by_size.items():
+            points = np.array([[ord(c) for c in pieces[k]] for k in numbers], np.uint64)
+            hashes = np.zeros(len(numbers), np.uint64)
+            for i in range(size):
+                hashes = hashes * BASE + points[:, i] + np.uint64(1)
+            order = np.argsort(hashes)
+            self.tables[size] = hashes[order], np.array(numbers)[order]
+        self.longest = max(by_size, default=1)
 
     def arcs(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """Arcs ``(word, start, end, piece)`` sorted by (end, word), and the
-        words' lengths."""
-        get, unknown = self.table.get, self.n_pieces
-        at: list[int] = []
-        pid: list[int] = []
-        sizes = []
-        for w, word in enumerate(words):
-            s = MARK + word
-            n = len(s)
-            sizes.append(n)
-            for i in range(n):
-                base = (w << 16) | (i << 8)
-                if get(s[i], -1) < 0:
-                    at.append(base | i + 1)
-                    pid.append(unknown)
-                for j in range(i + 1, n + 1):
-                    k = get(s[i:j])
-                    if k is None:
-                        break
-                    if k >= 0:
-                        at.append(base | j)
-                        pid.append(k)
-        packed, piece = np.array(at, np.int64), np.array(pid, np.int64)
-        word, start, end = packed >> 16, packed >> 8 & 255, packed & 255
-        order = np.lexsort((word, end))
-        return word[order], start[order], end[order], piece[order], np.array(sizes)
+        words' lengths with the mark."""
+        sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+        points = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        start = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left = sizes[word] - start       # letters from a place to the word's end
+        at, hashes = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        found: list[tuple[np.ndarray, int, np.ndarray]] = []
+        for size in range(1, self.longest + 1):
+            fits = left[at] >= size
+            at, hashes = at[fits], hashes[fits]
+            if not len(at):
+                break
+            hashes = hashes * BASE + points[at + size - 1] + np.uint64(1)
+            known, numbers = self.tables.get(size, (np.zeros(1, np.uint64), np.zeros(1, np.int64)))
+            place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            hit = (known[place] == hashes) & (size in self.tables)
+            found.append((at[hit], size, numbers[place[hit]]))
+            if size == 1:
+                found.append((at[~hit], 1, np.full((~hit).sum(), self.n_pieces)))
+        begin = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
+        size = np.concatenate([np.full(len(f[0]), f[1]) for f in found] or [np.empty(0, np.int64)])
+        piece = np.concatenate([f[2] for f in found] or [np.empty(0, np.int64)])
+        end = start[begin] + size
+        order = np.argsort(end * len(words) + word[begin], kind="stable")
+        begin = begin[order]
+        return word[begin], start[begin], end[order], piece[order], sizes
 
 
 def forward(word: np.ndarray, start: np.ndarray, end: np.ndarray, p: np.ndarray,
@@ -185,12 +202,13 @@ def train(counts: DataFrame, pieces: list[str], rounds: int = ROUNDS) -> tuple[l
 
 
 class Scorer:
-    """Log-probabilities of words in each language; frequent words are kept."""
+    """Log-probabilities of words in each language; the first words seen, which
+    are the frequent ones, are kept."""
 
     def __init__(self, pieces: list[str], probs: np.ndarray):
         self.lattice, self.probs = Lattice(pieces), probs
         self.place: dict[str, int] = {}
-        self.logs = np.zeros((0, probs.shape[1]))
+        self.logs = np.zeros((1 << 12, probs.shape[1]))
 
     def score(self, words: list[str]) -> np.ndarray:
         split = [parts(w) for w in words]
@@ -206,22 +224,36 @@ class Scorer:
 
     def texts(self, texts: list[list[str]]) -> np.ndarray:
         """The summed log-probabilities of each list of words."""
-        fresh = list(dict.fromkeys(w for t in texts for w in t if w not in self.place))
-        room = max(0, CACHE_WORDS - len(self.place))
-        logs = np.concatenate([self.logs, self.score(fresh)]) if fresh else self.logs
-        known = len(self.logs)
-        if fresh[:room]:
-            self.place.update((w, known + i) for i, w in enumerate(fresh[:room]))
-            self.logs = logs[:known + len(fresh[:room])]
-        rest = {w: known + i for i, w in enumerate(fresh[room:], len(fresh[:room]))}
-        place = self.place
+        place, known = self.place, len(self.place)
+        fresh = [w for w in dict.fromkeys(w for t in texts for w in t) if w not in place]
+        if known + len(fresh) > len(self.logs):
+            grown = np.zeros((2 * (known + len(fresh)), self.logs.shape[1]))
+            grown[:known] = self.logs[:known]
+            self.logs = grown
+        if fresh:
+            self.logs[known:known + len(fresh)] = self.score(fresh)
+        kept = max(0, min(len(fresh), CACHE_WORDS - known))
+        place.update(zip(fresh[:kept], range(known, known + kept)))
+        rest = dict(zip(fresh[kept:], range(known + kept, known + len(fresh))))
         out = np.zeros((len(texts), self.probs.shape[1]))
         for i, t in enumerate(texts):
-            at = [place[w] if w in place else rest[w] for w in t]
-            out[i] = logs[at].sum(axis=0) if at else 0
+            at = [place[w] if w in place else rest[w] for w in t] if rest else [place[w] for w in t]
+            if at:
+                out[i] = self.logs[at].sum(axis=0)
         return out
 
 
+_held: dict[str, Scorer] = {}
+
+
+def held_scorer(name: str, pieces: list[str], probs: np.ndarray) -> Scorer:
+    """The scorer that a worker's tasks of one model share."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = Scorer(pieces, probs)
+    return _held[name]
+
+
 def identify(docs: DataFrame, learn_from: Column, vocabulary: str, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(id, learned, lang_pred, score)`` of every row of ``docs``; rows for
@@ -232,11 +264,11 @@ def identify(docs: DataFrame, learn_from: Column, vocabulary: str, id_col: str =
     counts = cut(word_counts(rows.where("learned AND lang IS NOT NULL")))
     langs, probs = train(counts, pieces)
     sent = docs.sparkSession.sparkContext.broadcast((pieces, langs, probs))
-    kind = rows.schema["id"].dataType.simpleString()
+    kind, name = rows.schema["id"].dataType.simpleString(), uuid.uuid4().hex
 
     def setup():
         pieces, langs, probs = sent.value
-        scorer = Scorer(pieces, probs)
+        scorer = held_scorer(name, pieces, probs)
 
         def f(b: pa.RecordBatch) -> pa.RecordBatch:
             texts = [words_of(t) if t else [] for t in b.column("text").to_pylist()]
