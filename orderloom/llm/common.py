@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -42,6 +43,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files that nothing refers to any more.
+
+    Its cleaner follows the driver's garbage collection, which a driver with
+    little to do puts off; the shuffles of a finished part would fill disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def row_key(*cols: str) -> Column:
     """64-bit key of a row's columns; equal rows share it, nulls count."""
     return F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in cols])

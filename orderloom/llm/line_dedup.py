@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import BROADCAST_BYTES, cut, map_slices, row_key
+from orderloom.llm.common import BROADCAST_BYTES, cut, map_slices, release, row_key
 from orderloom.llm.near_groups import near_groups
 
 SHINGLE = 7
-ROWS, BANDS = 3, 9
+ROWS, BANDS = 3, 8
 SIMILARITY = 0.8
 BLANK = " \t\r\x0b\x0c"
 SEED = 42                # of the node hash; the same as the SQL function's
@@ -42,7 +42,12 @@ AT_ONCE = 64             # documents whose lines are hashed at once
 
 
 def normalised(line: str) -> str:
-    return " ".join(line.lower().split())
+    """Lower case, single spaces."""
+    low = line.lower()
+    # The only white space that is printable is the space.
+    if low.isprintable() and "  " not in low:
+        return low.strip(" ")
+    return " ".join(low.split())
 
 
 def shingles(line: str, k: int = SHINGLE) -> set[str]:
@@ -50,10 +55,12 @@ def shingles(line: str, k: int = SHINGLE) -> set[str]:
     return {line[i:i + k] for i in range(len(line) - k + 1)} or {line}
 
 
-def jaccard(a: str, b: str, k: int = SHINGLE) -> float:
-    x, y = shingles(normalised(a), k), shingles(normalised(b), k)
+def similar(x: set[str], y: set[str], similarity: float) -> bool:
+    """The exact Jaccard similarity of two sets is ``similarity`` or more."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
     common = len(x & y)
-    return common / (len(x) + len(y) - common)
+    return common >= similarity * (len(x) + len(y) - common)
 
 
 def signatures(lines: list[str], k: int = SHINGLE, n: int = ROWS * BANDS) -> np.ndarray:
@@ -61,13 +68,14 @@ def signatures(lines: list[str], k: int = SHINGLE, n: int = ROWS * BANDS) -> np.
     padded = [x if len(x) >= k else x.ljust(k, "\0") for x in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
     points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4")
-    rolled = np.zeros(len(points) - k + 1, np.uint64)
-    for i in range(k):
-        rolled *= np.uint64(0x9E3779B97F4A7C15)
-        rolled += points[i:len(points) - k + 1 + i]
-    rolled ^= rolled >> np.uint64(32)
-    rolled *= np.uint64(0xD6E8FEB86659FD93)
-    hashes = (rolled >> np.uint64(32)).astype(np.uint32)
+    hashes = np.zeros(len(points) - k + 1, np.uint32)
+    for i in range(k):                       # 32 bits: faster, and few shingles collide
+        hashes *= np.uint32(0x9E3779B1)
+        hashes += points[i:len(points) - k + 1 + i]
+    for shift, odd in ((15, 0x2C1B3C6D), (12, 0x297A2D39)):
+        hashes ^= hashes >> np.uint32(shift)
+        hashes *= np.uint32(odd)
+    hashes ^= hashes >> np.uint32(15)
     ends = np.cumsum(sizes)
     inside = np.ones(len(hashes), bool)      # not across the end of a line
     for i in range(1, k):
@@ -148,9 +156,8 @@ def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def similar_pairs(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs of nodes ``(u, v)`` whose lines reach the exact similarity."""
-    pairs = cut(pairs)
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    small = 16 * 2 * pairs.count() <= BROADCAST_BYTES
+    nodes = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    small = 8 * nodes.count() <= BROADCAST_BYTES
     lines = occurrences(docs).select("node", "line")
     texts = lines.join(F.broadcast(nodes) if small else nodes, "node", "left_semi")
     texts = texts.groupBy("node").agg(F.min("line").alias("line"))
@@ -158,9 +165,17 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataF
             .join(texts.select(F.col("node").alias("v"), F.col("line").alias("b")), "v"))
 
     def setup():
+        last: tuple[str | None, set[str]] = (None, set())
+
         def f(b: pa.RecordBatch) -> pa.RecordBatch:
-            near = [jaccard(x, y) >= similarity for x, y in
-                    zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+            nonlocal last
+            near = []
+            for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
+                if y != last[0]:             # the join leaves equal ones together
+                    last = (y, shingles(normalised(y)))
+                line, other = normalised(x), last[1]
+                near.append(max(len(line) - SHINGLE + 1, 1) >= similarity * len(other)
+                            and similar(shingles(line), other, similarity))
             return b.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
         return f
 
@@ -181,7 +196,9 @@ def line_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     members = (rows.repartition("key").sortWithinPartitions("key", "node")
                .mapInArrow(shared_runs, "key bigint, node bigint, rep bigint")
                .select("key", "node", F.struct(F.col("rep").alias("node")).alias("rep")))
-    return near_groups(cut(members), ["key"],
+    members = cut(members)
+    release(docs.sparkSession)
+    return near_groups(members, ["key"],
                        lambda pairs: similar_pairs(docs.select("text"), pairs, similarity))
 
 
@@ -192,6 +209,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     key = row_key(id_col, text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("doc"))
     groups = cut(line_groups(rows, similarity))
+    release(docs.sparkSession)
     lines = occurrences(rows).drop("line")
     firsts = (lines.groupBy("node").agg(F.min(F.struct("id", "doc", "line_no")).alias("first"),
                                         F.count("*").alias("n"))

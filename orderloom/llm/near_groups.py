@@ -3,15 +3,15 @@
 Nodes that may be near share a bucket.  Making all pairs of a bucket would
 take the square of its size, and a bucket may hold a third of all rows, so:
 
-1. every member is compared with the bucket's representative, its smallest
-   node, and what is near is linked (one comparison for each member);
+1. every node is compared with the smallest representative (smallest node) of
+   its buckets, and what is near is linked: one comparison for each node;
 2. linked nodes are united into components;
 3. only where a bucket still holds several components, the members outside
    its largest component are compared with the members of the others.  Pairs
    inside one component need no comparison, as they are connected already.
 
 Step 3 makes the result exact: every pair that shares a bucket is connected or
-compared.  Its work is the size of a bucket times the members that step 1 left
+compared, and none is compared twice.  Its work is the size of a bucket times the members that step 1 left
 outside, and the join on the bucket can be split by adaptive execution.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import cut
+from orderloom.llm.common import cut, release
 from orderloom.llm.components import connected_components
 
 Verify = Callable[[DataFrame], DataFrame]
@@ -50,15 +50,16 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
     """
     star = members.where("node <> rep.node").where(
         may_be_near(F.col, lambda c: F.col(f"rep.{c}")))
-    star = star.select(F.col("node").alias("u"), F.col("rep.node").alias("v")).distinct()
+    star = cut(star.groupBy(F.col("node").alias("u")).agg(F.min("rep.node").alias("v")))
     first = cut(connected_components(verify(star)))
+    release(members.sparkSession)
 
     placed = (members.drop("rep").join(first.withColumnRenamed("root", "comp"), "node", "left")
               .withColumn("comp", F.coalesce("comp", "node")))
     per = placed.groupBy(*key, "comp").agg(F.count("*").alias("n"))
-    mixed = (per.groupBy(*key).agg(F.sum("n").alias("size"), F.count("*").alias("parts"),
+    mixed = (per.groupBy(*key).agg(F.count("*").alias("parts"),
                                    F.max(F.struct("n", "comp"))["comp"].alias("main"))
-             .where("parts > 1 AND size > 2").select(*key, "main"))
+             .where("parts > 1").select(*key, "main"))
     mixed = cut(placed.join(mixed, key))
     pairs = mixed.where("comp <> main").alias("l").join(
         mixed.alias("r"), [F.col(f"l.{k}") == F.col(f"r.{k}") for k in key])
@@ -67,6 +68,8 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
         lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
     pairs = pairs.select(F.greatest("l.node", "r.node").alias("u"),
                          F.least("l.node", "r.node").alias("v")).distinct()
+    untested = cut(pairs.join(star, ["u", "v"], "left_anti"))
+    release(members.sparkSession)
     links = first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
-        verify(pairs).select("u", "v"))
+        verify(untested).select("u", "v"))
     return connected_components(links)
