@@ -46,7 +46,7 @@ def labelled(spark):
     for i in range(3000):
         bad = i % 5 == 0
         text = good.format(i) + (" you idiot scum" if bad else "")
-        rows.append((i, text, "en" if i % 3 else "fr" if i % 30 else None))
+        rows.append((i, text, "en" if i % 3 else "fr" if i % 33 else None))
         labels.append((i, 1, int(bad)))
     return (spark.createDataFrame(rows, "doc_id bigint, text string, lang string"),
             spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))

@@ -47,7 +47,8 @@ def test_guess_cost_orders_passwords():
     assert cost("abcabcabcabc") < 5 and cost("2021-12-31") < 6
     assert cost("x9$kQ2!vBw") == pytest.approx(10, abs=1)
     assert cost("") == 0
-    long = "".join(random.Random(2).choice("0123456789abcdef") for _ in range(20_000))
+    rnd = random.Random(2)
+    long = "".join(rnd.choice("0123456789abcdef") for _ in range(20_000))
     assert cost(long) > 10_000
 
 
