@@ -12,11 +12,11 @@ strata).  Each stratum uses its certified version that catches most bad rows;
 a stratum without one is left to the base rule.  So with probability
 ``1 - delta`` every stratum rejects at most ``alpha`` of its good documents.
 
-Learning reads a bounded number of labelled rows (``max_labelled``, those of
-the smallest id hashes); scoring covers whole texts of all documents in one
-pass without a shuffle.  The cutoffs are broadcast: a stratum needs
-``MIN_GOOD`` good holdout rows, so there are at most
-``max_labelled / MIN_GOOD`` of them.
+The lexicon, a classifier, is learned from a bounded number of labelled rows
+(``max_labelled``, those of the smallest id hashes).  Cutoffs and their
+certification count all labelled rows: scores, without the texts, are joined
+with the labels by id.  Scoring covers whole texts of all documents without a
+shuffle.  The cutoffs are broadcast after their number is counted.
 
 Defined results: a null text has no words and fails the base rule; a null
 stratum is a stratum of its own; repeated rows are scored alike; rows that are
@@ -30,13 +30,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import cut, settled
+from orderloom.llm.common import BROADCAST_BYTES, cut, settled
 
 SPACE_CHARS = " \t\n\x0b\f\r"
 SPACE = r"[\x20\x09-\x0D]"
 REPEAT_WORDS = 8         # words of a repeat window
 MIN_GOOD = 60            # good holdout rows that a stratum needs
-MAX_LABELLED = 20_000    # labelled rows that learning reads
+MAX_LABELLED = 20_000    # labelled rows that the lexicon is learned from
+STRATUM_BYTES = 256      # of one stratum's cutoffs, for the bound of a broadcast
 LEXICON_WORDS = 64       # bound of the learned lexicon
 LEXICON_LEAST = 8        # fit rows that a lexicon word stands in, at least
 LEXICON_SHARE = 0.8      # share of bad rows among them, at least
@@ -118,13 +119,23 @@ def learn_lexicon(fit: DataFrame) -> list[str]:
     return [r["word"] for r in top.select("word").collect()]
 
 
+def _times(hit: Column) -> Column:
+    """How many labels stand behind the rows that are hit."""
+    return F.sum(F.when(hit, F.col("w")).otherwise(F.lit(0).cast("long")))
+
+
+def small(strata: DataFrame) -> DataFrame:
+    """``strata``, already cut, to be broadcast if they are few enough."""
+    return F.broadcast(strata) if strata.count() * STRATUM_BYTES <= BROADCAST_BYTES else strata
+
+
 def choose_cutoffs(fit: DataFrame) -> DataFrame:
-    """``(stratum, <rule>...)``: the cutoff of the best balance, else infinity."""
+    """``(stratum, <rule>...)``: the cutoff of the best balance, else infinity.
+    A row of ``fit`` counts ``w`` times."""
     grid = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("score"), F.lit(c).alias("cutoff"))
                      for r in RULES for c in CUTOFFS[r]])
     hits = F.col("x.score") > F.col("x.cutoff")
-    gain = (F.sum((hits & F.col("bad")).cast("long"))
-            - LOSS * F.sum((hits & ~F.col("bad")).cast("long")))
+    gain = _times(hits & F.col("bad")) - LOSS * _times(hits & ~F.col("bad"))
     per = (fit.withColumn("x", F.explode(grid)).groupBy("stratum", "x.rule", "x.cutoff")
            .agg(gain.alias("gain")))
     best = (per.where("gain > 0").groupBy("stratum", "rule")
@@ -160,15 +171,15 @@ def at_most_tail(k: Column, n: Column, alpha: float) -> Column:
 
 def certify(cutoffs: DataFrame, holdout: DataFrame, alpha: float, delta: float) -> DataFrame:
     """``(stratum, cut, relax)`` of each stratum with a certified version."""
-    cuts = cutoffs.select("stratum", F.struct(*RULES).alias("cut"))
+    cuts = small(cut(cutoffs.select("stratum", F.struct(*RULES).alias("cut"))))
     h = holdout.withColumnRenamed("stratum", "s")
     seen = (h.join(cuts, F.col("s").eqNullSafe(F.col("stratum")))
             .withColumn("relax", F.explode(F.array(*map(F.lit, RELAX)))))
     hit = rejects("cut", F.col("relax"))
     good = ~F.col("bad")
     tests = (seen.groupBy("stratum", "cut", "relax")
-             .agg(F.sum(good.cast("long")).alias("n"), F.sum((hit & good).cast("long")).alias("k"),
-                  F.sum((hit & F.col("bad")).cast("long")).alias("caught"))
+             .agg(_times(good).alias("n"), _times(hit & good).alias("k"),
+                  _times(hit & F.col("bad")).alias("caught"))
              .where(F.col("n") >= MIN_GOOD))
     n_tests = tests.agg(F.greatest(F.count("*"), F.lit(1))).scalar()
     passed = tests.where(at_most_tail(F.col("k"), F.col("n"), alpha) <= F.lit(delta) / n_tests)
@@ -177,36 +188,55 @@ def certify(cutoffs: DataFrame, holdout: DataFrame, alpha: float, delta: float)
             .select("stratum", F.col("b.cut").alias("cut"), F.col("b.relax").alias("relax")))
 
 
-def learn(docs: DataFrame, labels: DataFrame, alpha: float, delta: float, stratum: str,
-          max_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text"
-          ) -> tuple[list[str], DataFrame]:
-    """The lexicon and the certified cutoffs.  ``labels`` is ``(id, bad)``."""
-    some = (labels.where("bad IS NOT NULL AND id IS NOT NULL")
-            .orderBy(F.xxhash64("id", "bad"), "id", "bad").limit(max_labelled))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       F.col(stratum).alias("stratum"))
-    rows = rows.join(F.broadcast(some), "id")     # at most max_labelled ids
-    counted = cut(base_counts(rows, F.col("text")).where(~base_failed()).drop("text")
-                  .withColumn("fold", F.crc32(F.col("id").cast("string")) % 2))
-    fit, holdout = counted.where("fold = 0"), counted.where("fold = 1")
-    lexicon = learn_lexicon(fit)
-    cutoffs = choose_cutoffs(with_scores(fit, lexicon))
-    return lexicon, cut(certify(cutoffs, with_scores(holdout, lexicon), alpha, delta))
+def lexicon_of(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
+               id_col: str = "doc_id", text_col: str = "text") -> list[str]:
+    """The lexicon of the fit fold of at most ``max_labelled`` labels ``(id, bad)``."""
+    some = labels.orderBy(F.xxhash64("id", "bad"), "id", "bad").limit(max_labelled)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.join(F.broadcast(some), "id").where(fold("id") == 0)   # at most max_labelled ids
+    return learn_lexicon(base_counts(rows, F.col("text")).where(~base_failed()).select("_low", "bad"))
+
+
+def fold(id_col: str) -> Column:
+    return F.crc32(F.col(id_col).cast("string")) % 2
+
+
+def learn(scored: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """The certified cutoffs.  ``scored`` is ``(id, stratum, <rule>...,
+    base_failed)`` of all documents, ``labels`` is ``(id, bad)``: all that
+    name a document count."""
+    times = labels.groupBy("id", "bad").agg(F.count("*").alias("w"))
+    rows = cut(scored.where("id IS NOT NULL AND NOT base_failed").join(times, "id")
+               .select("stratum", "bad", "w", *RULES, fold("id").alias("fold")))
+    cutoffs = choose_cutoffs(rows.where("fold = 0"))
+    return cut(certify(cutoffs, rows.where("fold = 1"), alpha, delta))
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.1,
           stratum: str = "lang", max_labelled: int = MAX_LABELLED, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` as struct ``row`` with its base counts, scores,
-    ``base_failed`` and ``kept``."""
-    lexicon, certified = learn(docs, labels, alpha, delta, stratum, max_labelled, id_col, text_col)
-    rows = docs.select(F.struct("*").alias("row"), F.col(stratum).alias("s"))
-    scored = with_scores(base_counts(rows, F.col(f"row.`{text_col}`")), lexicon)
+    ``base_failed`` and ``kept``.
+
+    ``keep`` names the columns that ``row`` holds (all by default).  Without
+    the text among them, scores are worked out once and kept; with it, they
+    are worked out again rather than written beside the text.
+    """
+    labels = labels.where("bad IS NOT NULL AND id IS NOT NULL")
+    lexicon = lexicon_of(docs, labels, max_labelled, id_col, text_col)
+    keep = docs.columns if keep is None else keep
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(id_col).alias("id"),
+                       F.col(stratum).alias("s"), F.col(text_col).alias("_t"))
+    scored = with_scores(base_counts(rows, F.col("_t")).drop("_t"), lexicon).withColumn(
+        "base_failed", base_failed())
+    if text_col not in keep:
+        scored = cut(scored)
+    certified = learn(scored.select("id", F.col("s").alias("stratum"), "base_failed", *RULES),
+                      labels, alpha, delta)
     verdict = F.coalesce(rejects("cut", F.col("relax")), F.lit(False))
-    return (scored.join(F.broadcast(certified), F.col("s").eqNullSafe(F.col("stratum")), "left")
-            .withColumn("base_failed", base_failed())
+    return (scored.join(small(certified), F.col("s").eqNullSafe(F.col("stratum")), "left")
             .withColumn("kept", ~F.col("base_failed") & ~verdict)
-            .drop("s", "stratum", "cut", "relax"))
+            .drop("id", "s", "stratum", "cut", "relax"))
 
 
 def bad_labels(labels: DataFrame) -> DataFrame:

@@ -51,7 +51,8 @@ def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf, "documents"),
-                                 quality_rules.bad_labels(table(spark, sf, "labels")))
+                                 quality_rules.bad_labels(table(spark, sf, "labels")),
+                                 keep=["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept")
 

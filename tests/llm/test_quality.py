@@ -63,6 +63,24 @@ def test_learned_rules_catch_bad_and_keep_good(labelled):
     assert by[True, None] == 1          # too few labels to certify anything there
 
 
+def test_certification_counts_labels_beyond_the_lexicon_bound(labelled):
+    docs, labels = labelled
+    for keep in (None, ["doc_id", "lang"]):
+        # 600 labels hold too few good French holdout rows to certify anything.
+        judged = Q.judge(docs, Q.bad_labels(labels), max_labelled=600, keep=keep).select("row.*", "kept")
+        assert judged.where("doc_id % 5 = 0 AND lang = 'fr' AND kept").count() == 0
+        assert judged.where("doc_id % 5 > 0 AND NOT kept").count() == 0
+
+
+def test_repeated_labels_count_once_each(spark):
+    rows = [(1, 0.0, True, 2), (2, 0.9, True, 3), (3, 0.9, False, 1)]
+    cols = [F.lit("en").alias("stratum"), "bad", F.col("w").cast("long").alias("w"), *[
+        (F.col("x") if r == "shout" else F.lit(0.0)).alias(r) for r in Q.RULES]]
+    fit = spark.createDataFrame([(*r,) for r in rows], "id int, x double, bad boolean, w int").select(*cols)
+    assert Q.choose_cutoffs(fit).first().shout == float("inf")       # 3 caught, 1 lost
+    assert Q.choose_cutoffs(fit.where("bad")).first().shout == 0.8
+
+
 def test_without_labels_only_the_base_rule(spark, docs, no_docs):
     labels = spark.createDataFrame([], "id bigint, bad boolean")
     rows = Q.judge(docs, labels).select("row.*", "base_failed", "kept").collect()
