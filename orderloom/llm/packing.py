@@ -8,10 +8,11 @@ by residual; the search starts at the successor of the piece's size and goes
 on until a compatible bin is found, else a new bin opens.  A bin holds at most
 one piece of a source and one of a duplicate cluster.
 
-Scale: only ids, sizes and hashes move.  Pieces are dealt by a hash of their
-row to shards of about ``SHARD_ROWS`` pieces, whose number follows the input,
-so that a source or cluster that holds a third of all rows is spread over all
-shards; each shard is packed in one task and bins never span shards, which
+Scale: only ids, sizes and hashes move.  Equal rows get running numbers
+(counted per salt, then added up), and pieces are dealt by a hash of row and
+number to shards of about ``SHARD_ROWS`` pieces, whose number follows the
+input, so that a source, a cluster or a repeated row that holds a third of all
+rows is spread over all shards; each shard is packed in one task and bins never span shards, which
 costs a shard's few half-empty last bins.  The order inside a shard is fixed
 by size and ids, so a rerun packs alike.
 
@@ -26,7 +27,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import cut, prepare, row_key
@@ -67,30 +68,41 @@ def best_fit(pieces: Iterable[tuple[int, int | None, int]], capacity: int
         insort(open_bins, (residual - size, b))
 
 
+def numbered(rows: DataFrame, salts: int) -> DataFrame:
+    """``rows(row, at, ...)`` with ``number``: 0, 1, ... among those of equal
+    ``row``.  ``at`` is unique; no task takes all rows of a key."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("at"), F.lit(salts)))
+    before = Window.partitionBy("row").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("row", "salt").agg(F.count("*").alias("n")).select(
+        "row", "salt", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("row", "salt").orderBy("at")) - 1
+    return (rows.withColumn("place", place).join(offsets, ["row", "salt"])
+            .withColumn("number", F.col("before") + F.col("place")).drop("salt", "place", "before", "at"))
+
+
 def pack(docs: DataFrame, size: Column, cluster: Column, capacity: int = CAPACITY,
          shard_rows: int = SHARD_ROWS, id_col: str = "doc_id", source_col: str = "source"
          ) -> DataFrame:
     """``(id, piece, start, size, shard, bin, offset, bin_id)`` for every piece
     of every row: ``start`` is its place in the document, ``offset`` in the
     bin, and ``bin_id`` names the bin among all shards.  A full piece has a
-    bin of its own, named by its row."""
+    bin of its own, named by its row and the row's number among equal ones."""
     kind = docs.schema[id_col].dataType.simpleString()
     # As strings, ids with nulls among them pass through pandas unharmed.
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(source_col).cast("string").alias("source"),
                        size.cast("long").alias("total"), cluster.cast("long").alias("cluster"))
-    rows = rows.withColumn("row", row_key("id", "cluster"))
+    rows = rows.withColumn("row", row_key("id", "source", "total", "cluster"))
+    rows = cut(rows.withColumn("at", F.monotonically_increasing_id()))
     full = F.floor(F.col("total") / F.lit(capacity)).cast("long")
+    rows = cut(numbered(rows, max(1, -(-rows.count() // shard_rows))))
     rows = rows.withColumn("full", full).withColumn("rest", F.col("total") - F.col("full") * capacity)
 
     rests = rows.where("rest > 0 OR full = 0")
-    n = rests.count()
-    shards = max(1, -(-n // shard_rows))
-    # Rows that are equal in id and text would share a hash; the source and
-    # an even deal of the rest do not matter for the result's validity.
-    rests = cut(rests.withColumn("shard", F.pmod(F.xxhash64("row", "source"), F.lit(shards)).cast("long")))
+    shards = max(1, -(-rests.count() // shard_rows))
+    rests = rests.withColumn("shard", F.pmod(F.xxhash64("row", "number"), F.lit(shards)).cast("long"))
 
     def pack_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rest", "id", "row", "source"], ascending=[False, True, True, True],
+        pdf = pdf.sort_values(["rest", "id", "row", "number"], ascending=[False, True, True, True],
                               kind="stable").reset_index(drop=True)
         sources = [None if x is None or x != x else x for x in pdf["source"]]
         placed = list(best_fit(zip(pdf["rest"].tolist(), sources, pdf["cluster"].tolist()), capacity))
@@ -103,12 +115,12 @@ def pack(docs: DataFrame, size: Column, cluster: Column, capacity: int = CAPACIT
         pack_shard, "id string, piece bigint, start bigint, size bigint, shard bigint, bin bigint, "
                     "offset bigint")
     packed = packed.withColumn("bin_id", F.concat_ws("-", F.lit("s"), "shard", "bin"))
-    whole = rows.where("full > 0").select("id", "row", F.explode(F.sequence(
+    whole = rows.where("full > 0").select("id", "row", "number", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("full") - 1)).alias("piece"))
     whole = whole.select(
         "id", "piece", (F.col("piece") * capacity).alias("start"), F.lit(capacity).cast("long").alias("size"),
         F.lit(None).cast("long").alias("shard"), F.lit(None).cast("long").alias("bin"),
         F.lit(0).cast("long").alias("offset"),
-        F.concat_ws("-", F.lit("f"), F.lower(F.hex("row")), "piece").alias("bin_id"))
+        F.concat_ws("-", F.lit("f"), F.lower(F.hex("row")), "number", "piece").alias("bin_id"))
     pieces = packed.unionByName(whole)
     return pieces.select(F.col("id").cast(kind).alias(id_col), *[c for c in pieces.columns if c != "id"])

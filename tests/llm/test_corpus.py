@@ -314,3 +314,21 @@ def test_packing_defined_results(docs, no_docs):
     assert size[7] == 50_000 and size[3] == size[4] == 0 and size[8] == 20
     assert len(rows) == docs.count() + 50_000 // packing.CAPACITY + 15_000 // packing.CAPACITY
     assert pack(no_docs).collect() == []
+
+
+def test_packing_repeated_rows(spark):
+    long, short = "y" * 20_000, "z" * 10
+    rows = [(1, long, "a")] * 5 + [(None, long, s) for s in "aabbb"] + [(2, short, "a")] * 200
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    got = packing.pack(df, F.octet_length("text"), F.xxhash64("text"), shard_rows=10).collect()
+    assert len(got) == 10 * 3 + 200
+    held = defaultdict(list)
+    for r in got:
+        held[r.bin_id].append(r)
+    for b in held.values():
+        assert sum(r.size for r in b) <= packing.CAPACITY
+        assert len({r.doc_id == 2 for r in b}) == len(b)     # two texts: one piece of each at most
+    loads = defaultdict(int)
+    for r in got:
+        loads[r.shard] += r.shard is not None
+    assert max(loads.values()) < 40
