@@ -13,7 +13,8 @@ repeats that stage only.  All stages but the last return the columns of
    smallest id (equal ids: the smallest row hash);
 4. benchmark decontamination: documents of which a twentieth of the words or
    more lies in benchmark spans go;
-5. best-fit packing: a row for each piece of a document with its bin.
+5. best-fit packing: a row for each piece of a document with its bin; after
+   stage 3 no two documents are near copies, so a text is its own cluster.
 
 Null texts fail the quality rules; an empty table passes through all stages.
 """

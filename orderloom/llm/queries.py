@@ -79,9 +79,11 @@ def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
-    """Sizes are bytes; a cluster is a set of equal texts."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return packing.pack(table(spark, sf, "documents"), F.octet_length(text), F.xxhash64(text))
+    """Sizes are bytes; a cluster is a group of near copies, as in op9."""
+    size = F.octet_length(F.coalesce(F.col("text"), F.lit("")))
+    rows = simhash_groups.with_clusters(
+        table(spark, sf, "documents"), [F.col("doc_id"), F.col("source"), size.alias("n_bytes")])
+    return packing.pack(rows, F.col("n_bytes"), F.col("cluster"))
 
 
 def op9_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:

@@ -152,6 +152,14 @@ def group_documents(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def with_clusters(docs: DataFrame, keep: list[Column], shingle: int = 3, max_bits: int = 3,
+                  text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` of every row, and its group as bigint ``cluster``."""
+    keyed = docs.select(F.col(text_col).alias("text"), F.struct(*keep).alias("place"))
+    rows = cut(fingerprints(keyed, shingle, "place", "text"))
+    return rows.join(components(rows, max_bits), "fp").select("id.*", F.col("root").alias("cluster"))
+
+
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, one of each group: that of the smallest id (a null

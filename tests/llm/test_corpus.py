@@ -332,3 +332,18 @@ def test_packing_repeated_rows(spark):
     for r in got:
         loads[r.shard] += r.shard is not None
     assert max(loads.values()) < 40
+
+
+def test_packing_keeps_near_copies_apart(spark, tmp_path):
+    base = [f"word{i}" for i in range(400)]
+    rows = [(i, " ".join(base[:200] + [f"change{i}"] + base[200:]), f"s{i}") for i in range(4)]
+    rows += [(i, " ".join(f"other{i}x{k}" for k in range(20)), f"s{i}") for i in range(4, 7)]
+    rows += [(None, None, "s8"), (None, "", "s9")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    group = {r.doc_id: r.component_id for r in simhash_groups.group_documents(df).collect()}
+    assert group[0] == group[1] == group[2] == group[3]       # one changed word each
+    got = queries.op10_packing(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    assert len({r.bin_id for r in got if r.doc_id in (0, 1, 2, 3)}) == 4
+    assert len({r.bin_id for r in got if r.doc_id is None}) == 2
