@@ -38,9 +38,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "context")
 
-# Credential contexts wider than the assign pattern.
-CONTEXT = re.compile(r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?)["']?[ \t]*(?:[:=]>?|\bis\b)[ \t]*["']?([^\s"'<>]{6,})""",
-                     re.IGNORECASE | re.ASCII)
+# Credential contexts wider than the assign pattern: the keyword may stand
+# anywhere in an identifier (dbPassword, SECRET_KEY, aws_secret_access_key); a
+# quoted value ends at its closing quote, on its line.  The short keyword
+# "pass" and "auth" must be a part of their own, as in db_pass, not in compass.
+CONTEXT = re.compile(
+    r"""(?:(?:password|passwd|passphrase|passcode|pwd|secret|token|(?:api|access|private|auth|encryption|signing)[ _-]?key|credential)s?"""
+    r"""|(?:(?<![A-Za-z0-9])|(?<=[a-z])(?-i:(?=[PA])))(?:pass|auth)(?![a-z]))"""
+    r"""(?:[_.-][A-Za-z0-9]+|(?-i:[A-Z][A-Za-z0-9]*)|[0-9]+){0,4}"""
+    r"""["']?[ \t]*(?:[:=]>?|\bis\b)[ \t]*"""
+    r"""(?:"((?:[^"\\\r\n]|\\.){6,})"|'((?:[^'\\\r\n]|\\.){6,})'|["']?([^\s"'<>]{6,}))""",
+    re.IGNORECASE | re.ASCII)
 
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 SHIFTED = str.maketrans('~!@#$%^&*()_+{}|:"<>?', "`1234567890-=[]\\;',./")
@@ -149,12 +157,13 @@ def scan_text(text: str, words: dict[str, float], min_cost: float
     highest = None
     at = 0
     for m in CONTEXT.finditer(text):
-        cost = guess_cost(m[1], words)
+        k = m.lastindex
+        cost = guess_cost(m[k], words)
         highest = cost if highest is None else max(highest, cost)
         while at < len(assigned) and assigned[at][1] <= m.start():
             at += 1
         if cost >= min_cost and not (at < len(assigned) and assigned[at][0] < m.end()):
-            spans.append((m.start(1), 3, m.end(1)))
+            spans.append((m.start(k), 3, m.end(k)))
     spans.sort()
     return spans, highest
 

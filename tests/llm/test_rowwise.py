@@ -69,6 +69,24 @@ def test_secret_spans_of_each_kind():
     assert _spans("ſecret=abcdefghijklmnop") == []                 # letters of ASCII only
 
 
+@pytest.mark.parametrize("before, value, after", [
+    ("aws_secret_access_key = ", "wJalrXUtnFEMIK7MDENGbPxRfiCYzq", ""),
+    ('SECRET_KEY="', "x9$kQ2!vBz#7Lm", '"'), ('dbPassword: "', "Tr0ub4d&3x!Qz", '"'),
+    ('passphrase: "', "x7Kd2 pQ9vW zR4tB mN8cL", '"'), ("private_key: '", 'q7"Zp w2#Lk9!xV', "'"),
+    ("authKey2 => ", "x9$kQ2!vBw7#", ""), ("db_pass = ", "x9$kQ2!vBw7#", "")])
+def test_secret_contexts_inside_identifiers_and_quotes(before, value, after):
+    text = f"é {before}{value}{after} tail"
+    at = 2 + len(before)
+    assert f"context:{at}:{at + len(value)}" in _spans(text)
+
+
+def test_secret_contexts_that_are_none():
+    assert _spans("compass: x9$kQ2!vBw7#") == _spans("author = x9$kQ2!vBw7#") == []
+    assert _spans('password: "welcome 2019"') == []
+    long = "secret" + "_a" * 50_000 + " password" * 5_000
+    assert _spans(long) == []
+
+
 def test_secret_digest_covers_base_spans(spark, docs, no_docs):
     rows = secret_scan.scan_secrets(docs, WORDS).collect()
     assert len(rows) == docs.count()
