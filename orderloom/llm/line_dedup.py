@@ -34,7 +34,7 @@ from orderloom.llm.common import BROADCAST_BYTES, cut, map_slices, release, row_
 from orderloom.llm.near_groups import near_groups
 
 SHINGLE = 7
-ROWS, BANDS = 3, 8
+ROWS, BANDS = 3, 9
 SIMILARITY = 0.8
 BLANK = " \t\r\x0b\x0c"
 SEED = 42                # of the node hash; the same as the SQL function's

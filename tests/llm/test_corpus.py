@@ -347,3 +347,7 @@ def test_packing_keeps_near_copies_apart(spark, tmp_path):
     assert len(got) == len(rows)
     assert len({r.bin_id for r in got if r.doc_id in (0, 1, 2, 3)}) == 4
     assert len({r.bin_id for r in got if r.doc_id is None}) == 2
+
+
+def test_bands_miss_few_pairs_at_the_threshold():
+    assert (1 - 0.8 ** line_dedup.ROWS) ** line_dedup.BANDS < 0.002
