@@ -1,9 +1,9 @@
 """URL filter by empirical-Bayes host reputation.
 
 Labelled page outcomes are counted for hosts and summed for their registered
-domains and suffixes.  A beta-binomial prior is fitted over all suffixes by
-moments; each level's posterior is the prior of the level below: suffix,
-registered domain, host.  A host is blocked when a lower bound of its
+domains and suffixes.  Each level's posterior mean, with a fixed strength of
+``STRENGTH`` outcomes, is the prior of the level below: suffix, registered
+domain, host.  The strength is not fitted to the counts.  A host is blocked when a lower bound of its
 posterior share of good pages (mean less ``z`` standard deviations) stays
 under ``floor``.  Explicit rules come first; the longest that fits wins.
 
