@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -43,6 +44,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Folder:
+    """A folder of its own in the shared checkpoint folder, for the tables of
+    a loop.  A checkpoint keeps what the planner knows about its columns
+    (constraints, orders, partitionings), which grows from round to round
+    until planning takes longer than the work; a written table starts afresh.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.tables = 0
+
+    def written(self, df: DataFrame) -> DataFrame:
+        """``df`` written as the next table, and read from there."""
+        at = f"{self.path}/{self.tables}"
+        self.tables += 1
+        df.write.parquet(at)
+        return self.spark.read.schema(df.schema).parquet(at)
+
+    def remove(self) -> None:
+        """Delete the folder; nothing may read its tables any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove shuffle files that nothing refers to any more.
 

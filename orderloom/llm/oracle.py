@@ -65,7 +65,36 @@ SELECT doc_id, len(ls) AS n_lines, coalesce(n, 0) AS n_matches, coalesce(license
        coalesce(matches, '') AS matches FROM d LEFT JOIN g USING (r)
 """
 
+OP11 = """
+WITH o AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 'x': coalesce(text, '')}
+                  ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS l
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, l, xor(4294967295, list_reduce(
+        list_prepend(4294967295, [ascii(b)::BIGINT FOR b IN string_split(c::VARCHAR, '')]),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                   lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) % 9 AS h FROM o),
+b AS (SELECT h.c, coalesce(p.l, [])[1:h.h] || h.l[h.h + 1:] AS l
+      FROM h LEFT JOIN o p ON p.c = h.c - h.c % 5),
+m AS (SELECT c, l, unnest(range(len(l) + 1)) AS d FROM b),
+n AS (SELECT l[1:d] AS k, d, min(c) AS conv_id, count(*) AS n_convs,
+             coalesce(sha256(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(l) = d)),
+                      sha256('')) AS ends_sha256
+      FROM m GROUP BY 1, 2),
+p AS (SELECT n.*, u.conv_id AS parent_conv_id FROM n LEFT JOIN n u ON u.d = n.d - 1 AND u.k = n.k[1:n.d - 1]),
+w AS (SELECT p.*, coalesce(q.kids, 0) AS n_children,
+             (p.n_convs - 1) * coalesce(strlen(p.k[p.d].x), 0) AS saved
+      FROM p LEFT JOIN (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1, 2) q
+      ON q.d = p.d AND q.k = p.k),
+s AS (SELECT k[1:a] AS k, a AS d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+             sum(saved) AS saved_tokens
+      FROM (SELECT *, unnest(range(d + 1)) AS a FROM w) GROUP BY 1, 2)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM w JOIN s USING (k, d)
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_prefix_trie": OP11,
     "op7_license_scan": OP7,
     "op8_url_reputation": OP8,
 }

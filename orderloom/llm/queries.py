@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import (decontaminate, langid, license_scan, line_dedup, packing, quality_rules,
-                           secret_scan, simhash_groups, token_counts, url_reputation)
+from orderloom.llm import (conversation_trie, decontaminate, langid, license_scan, line_dedup, packing,
+                           quality_rules, secret_scan, sharding, simhash_groups, token_counts,
+                           url_reputation, whitening)
 from orderloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,7 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
              ("allow", "org/fr/")]
 URL_FLOOR, URL_Z = 0.5, 2.0
 TOKEN_LIMIT = 4096
+SHARDS = 16
 
 
 def vocabulary(name: str) -> str:
@@ -104,6 +106,28 @@ def op8_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
     ).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations are rebuilt by the contract first: groups of five, at
+    most eight borrowed turns."""
+    turns, convs = conversation_trie.grafted_turns(table(spark, sf, "conversations"), 5, 9)
+    return conversation_trie.prefix_trie(turns, convs)
+
+
+def op12_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """The law is ``bytes``: the shards' sizes are near equal."""
+    return sharding.shard_documents(table(spark, sf, "documents"), SHARDS).select(
+        "row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """``n`` vectors with sums S: ``deviation`` is the sum of (n x - S)^2,
+    ``whitened`` the projection of x - S/n over the component's deviation,
+    ``explained`` its share of the variance, ``identity_error`` the largest
+    entry by which the whitened covariance differs from the identity."""
+    return whitening.whiten(table(spark, sf, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -115,4 +139,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_reputation": op8_url_reputation,
     "op9_simhash_groups": op9_simhash_groups,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_sharding": op12_sharding,
+    "op13_whitening": op13_whitening,
 }
