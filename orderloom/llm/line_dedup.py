@@ -4,9 +4,12 @@ Lines are the ``\\n``-separated parts of a text that hold more than white
 space.  Equal lines share a 64-bit hash, the node.  Every node's normalised
 line (lower case, single spaces) gets a MinHash signature of its character
 shingles, cut into ``BANDS`` bands of ``ROWS`` values: a pair of similarity 0.8
-shares a band with a probability over 0.99.  Lines that share a band are
-candidates, the exact Jaccard similarity of their shingle sets verifies them,
-and a distributed union-find makes the groups.  Of each group the occurrence
+shares a band with a probability over 0.998.  Lines that share a band are
+candidates.  Two necessary conditions of the similarity, on the sizes of the
+shingle sets and on ``LANES`` words of parity bits of their shingles, discard
+most of them inside the join (neither ever discards a similar pair: the bits
+that differ are at most the shingles that differ); the exact Jaccard similarity
+verifies the others, and a distributed union-find makes the groups.  Of each group the occurrence
 with the smallest (id, line number) stays.
 
 Scale: the texts are shuffled once, to be rebuilt; what else moves are hashes.
@@ -18,7 +21,9 @@ small.
 
 Defined results: a null text stays null and counts no lines; blank lines stay
 where they are; a text whose lines all go is empty; rows equal in id and text
-are one document and keep the same lines; null ids sort first.
+are one document and keep the same lines; null ids sort first; a line shorter
+than a shingle is its own shingle; lines of any length are compared whole; an
+empty table gives no rows.  Columns of any name are carried inside ``row``.
 """
 
 from __future__ import annotations
@@ -27,18 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import BROADCAST_BYTES, cut, map_slices, release, row_key
-from orderloom.llm.near_groups import near_groups
+from orderloom.llm.near_groups import Side, near_groups
 
 SHINGLE = 7
-ROWS, BANDS = 3, 9
+ROWS, BANDS = 4, 13
 SIMILARITY = 0.8
 BLANK = " \t\r\x0b\x0c"
 SEED = 42                # of the node hash; the same as the SQL function's
 AT_ONCE = 64             # documents whose lines are hashed at once
+SEEN = 200_000           # lines that a task remembers to have hashed
+LANES = 8                # 64-bit words of parity bits
 
 
 def normalised(line: str) -> str:
@@ -63,25 +70,46 @@ def similar(x: set[str], y: set[str], similarity: float) -> bool:
     return common >= similarity * (len(x) + len(y) - common)
 
 
-def signatures(lines: list[str], k: int = SHINGLE, n: int = ROWS * BANDS) -> np.ndarray:
-    """MinHash values, ``(len(lines), n)``, of normalised lines."""
+def shingle_hashes(lines: list[str], k: int, odd: np.integer) -> tuple[np.ndarray, np.ndarray]:
+    """Polynomial hashes, to base ``odd`` and of its type, of the shingles of
+    all normalised lines, and where each line's begin."""
     padded = [x if len(x) >= k else x.ljust(k, "\0") for x in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
     points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4")
-    hashes = np.zeros(len(points) - k + 1, np.uint32)
-    for i in range(k):                       # 32 bits: faster, and few shingles collide
-        hashes *= np.uint32(0x9E3779B1)
+    hashes = np.zeros(len(points) - k + 1, odd.dtype)
+    for i in range(k):
+        hashes *= odd
         hashes += points[i:len(points) - k + 1 + i]
-    for shift, odd in ((15, 0x2C1B3C6D), (12, 0x297A2D39)):
-        hashes ^= hashes >> np.uint32(shift)
-        hashes *= np.uint32(odd)
-    hashes ^= hashes >> np.uint32(15)
     ends = np.cumsum(sizes)
     inside = np.ones(len(hashes), bool)      # not across the end of a line
     for i in range(1, k):
         inside[ends[:-1] - i] = False
-    hashes = hashes[inside]
-    starts = np.concatenate([[0], np.cumsum(sizes - k + 1)[:-1]])
+    return hashes[inside], np.concatenate([[0], np.cumsum(sizes - k + 1)[:-1]])
+
+
+def parity_bits(lines: list[str], k: int = SHINGLE, lanes: int = LANES) -> tuple[np.ndarray, np.ndarray]:
+    """The number of distinct shingles of each normalised line, and the XOR of
+    one bit for each of them, ``(len(lines), lanes)`` 64-bit words."""
+    hashes, starts = shingle_hashes(lines, k, np.uint64(0x9E3779B97F4A7C15))
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    hashes ^= hashes >> np.uint64(29)
+    counts, words = [], []
+    for part in np.split(hashes, starts[1:]):
+        part = np.unique(part)
+        odd = np.bincount((part >> np.uint64(8)).astype(np.int64) % (64 * lanes), minlength=64 * lanes) & 1
+        counts.append(len(part))
+        words.append(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8"))
+    return np.array(counts, np.int64), np.array(words, np.int64).reshape(-1, lanes)
+
+
+def signatures(lines: list[str], k: int = SHINGLE, n: int = ROWS * BANDS) -> np.ndarray:
+    """MinHash values, ``(len(lines), n)``, of normalised lines."""
+    hashes, starts = shingle_hashes(lines, k, np.uint32(0x9E3779B1))   # 32 bits: few collide
+    for shift, odd in ((15, 0x2C1B3C6D), (12, 0x297A2D39)):
+        hashes ^= hashes >> np.uint32(shift)
+        hashes *= np.uint32(odd)
+    hashes ^= hashes >> np.uint32(15)
     out = np.empty((len(lines), n), np.uint32)
     odd = np.random.default_rng(k).integers(0, 1 << 31, (n, 2), np.uint32)
     mixed = np.empty_like(hashes)
@@ -106,10 +134,16 @@ def band_rows(docs: DataFrame) -> DataFrame:
     """``(key, node)`` for every band of every line of ``docs(text)``."""
     def setup():
         from xxhash import xxh64_intdigest
+        seen: set[int] = set()               # a line in many documents goes out once a task
 
         def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             lines = list(dict.fromkeys(x for t in b.column("text").to_pylist() if t
                                        for x in t.split("\n") if x.strip(BLANK)))
+            node = [xxh64_intdigest(x.encode(), SEED) for x in lines]
+            lines = [x for x, n in zip(lines, node) if n not in seen]
+            if len(seen) + len(node) > SEEN:
+                seen.clear()
+            seen.update(node)
             if lines:
                 node = np.array([xxh64_intdigest(x.encode(), SEED) for x in lines],
                                 np.uint64).view(np.int64)
@@ -154,10 +188,38 @@ def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key0, node0 = key[-1], rep[-1]
 
 
+def line_traits(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, size, b0, b1, ...)`` of the lines of ``docs(text)`` in ``nodes``:
+    the size of the shingle set and the words of its parity bits."""
+    lines = occurrences(docs).select("node", "line").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+    def setup():
+        def f(b: pa.RecordBatch) -> pa.RecordBatch:
+            size, words = parity_bits([normalised(x) for x in b.column("line").to_pylist()])
+            return pa.RecordBatch.from_arrays(
+                [b.column("node"), pa.array(size), *[pa.array(np.ascontiguousarray(w)) for w in words.T]],
+                names=["node", "size", *[f"b{i}" for i in range(LANES)]])
+        return f
+
+    schema = "node bigint, size bigint, " + ", ".join(f"b{i} bigint" for i in range(LANES))
+    return map_slices(lines, schema, setup)
+
+
+def may_be_similar(l: Side, r: Side, similarity: float) -> Column:  # noqa: E741
+    """Necessary conditions of a Jaccard similarity: the smaller set has its
+    share of the larger one, and the parity bits that differ, never more than
+    the shingles that do, are few enough.  (A thousandth more than the bound
+    is let through, for the rounding of the share.)"""
+    sizes = l("size") + r("size")
+    share = F.least(l("size"), r("size")) >= similarity * F.greatest(l("size"), r("size")) - 0.001
+    differ = sum(((F.bit_count(l(f"b{i}").bitwiseXOR(r(f"b{i}")))) for i in range(LANES)), F.lit(0))
+    return share & (differ <= sizes * ((1 - similarity) / (1 + similarity)) + 0.001)
+
+
 def similar_pairs(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs of nodes ``(u, v)`` whose lines reach the exact similarity."""
     nodes = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    small = 8 * nodes.count() <= BROADCAST_BYTES
+    small = 64 * nodes.count() <= BROADCAST_BYTES     # a hashed relation takes several times its longs
     lines = occurrences(docs).select("node", "line")
     texts = lines.join(F.broadcast(nodes) if small else nodes, "node", "left_semi")
     texts = texts.groupBy("node").agg(F.min("line").alias("line"))
@@ -198,8 +260,11 @@ def line_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                .select("key", "node", F.struct(F.col("rep").alias("node")).alias("rep")))
     members = cut(members)
     release(docs.sparkSession)
-    return near_groups(members, ["key"],
-                       lambda pairs: similar_pairs(docs.select("text"), pairs, similarity))
+    texts = docs.select("text")
+    traits = cut(line_traits(texts, members.select("node").distinct()))
+    release(docs.sparkSession)
+    return near_groups(members, ["key"], lambda pairs: similar_pairs(texts, pairs, similarity),
+                       lambda l, r: may_be_similar(l, r, similarity), traits)  # noqa: E741
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",

@@ -6,13 +6,18 @@ take the square of its size, and a bucket may hold a third of all rows, so:
 1. every node is compared with the smallest representative (smallest node) of
    its buckets, and what is near is linked: one comparison for each node;
 2. linked nodes are united into components;
-3. only where a bucket still holds several components, the members outside
-   its largest component are compared with the members of the others.  Pairs
-   inside one component need no comparison, as they are connected already.
+3. where buckets still hold several components and would make many pairs, the
+   members outside a bucket's largest component meet a new representative of
+   it, again one comparison each, as long as that still unites many;
+4. what is left outside is compared with the members of the other components.
+   Pairs inside one component need no comparison: they are connected already.
 
-Step 3 makes the result exact: every pair that shares a bucket is connected or
-compared, and none is compared twice.  Its work is the size of a bucket times the members that step 1 left
-outside, and the join on the bucket can be split by adaptive execution.
+Step 4 makes the result exact: every pair that shares a bucket is connected or
+compared, and none is compared twice.  A cheap necessary condition
+(``may_be_near``) is part of its join, so only pairs that pass it leave the
+join, to be made distinct and verified.  Its work is the size of a bucket times
+the members that step 1 left outside, and the join on the bucket can be split
+by adaptive execution.
 """
 
 from __future__ import annotations
@@ -25,6 +30,9 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import cut, release
 from orderloom.llm.components import connected_components
 
+PAIRS = 64               # pairs of a member outside that step 4 takes without another round
+PROGRESS = 8             # a round that links less than this part of its pairs is the last
+
 Verify = Callable[[DataFrame], DataFrame]
 Side = Callable[[str], Column]
 
@@ -39,28 +47,56 @@ def shared_buckets(members: DataFrame, key: list[str], payload: list[str] = [])
 
 
 def near_groups(members: DataFrame, key: list[str], verify: Verify,
-                may_be_near: Callable[[Side, Side], Column] = lambda l, r: F.lit(True)  # noqa: E741
-                ) -> DataFrame:
+                may_be_near: Callable[[Side, Side], Column] = lambda l, r: F.lit(True),  # noqa: E741
+                traits: DataFrame | None = None) -> DataFrame:
     """``(node, root)`` for every node that is not the smallest of its group.
 
     ``members`` comes from ``shared_buckets`` and should be a cheap table (it
     is read several times).  ``may_be_near(l, r)`` is a condition of a pair
     from two functions that give a side's ``node`` or payload column, and
-    ``verify(pairs(u, v))`` returns the pairs that are near indeed.
+    ``verify(pairs(u, v))`` returns the pairs that are near indeed.  Wide
+    payload, one row a node, can come as ``traits(node, ...)`` instead; it
+    only meets the pairs of step 1 and the members of mixed buckets.
     """
-    star = members.where("node <> rep.node").where(
-        may_be_near(F.col, lambda c: F.col(f"rep.{c}")))
-    star = cut(star.groupBy(F.col("node").alias("u")).agg(F.min("rep.node").alias("v")))
+    star = members.where("node <> rep.node")
+    if traits is None:
+        star = star.where(may_be_near(F.col, lambda c: F.col(f"rep.{c}")))
+    star = star.groupBy(F.col("node").alias("u")).agg(F.min("rep.node").alias("v"))
+    if traits is not None:
+        sides = {x: traits.select(F.col("node").alias(x), F.struct("*").alias(f"_{x}")) for x in "uv"}
+        star = star.join(sides["u"], "u").join(sides["v"], "v").where(may_be_near(
+            lambda c: F.col(f"_u.{c}"), lambda c: F.col(f"_v.{c}"))).select("u", "v")
+    star = cut(star)
     first = cut(connected_components(verify(star)))
     release(members.sparkSession)
-
-    placed = (members.drop("rep").join(first.withColumnRenamed("root", "comp"), "node", "left")
-              .withColumn("comp", F.coalesce("comp", "node")))
-    per = placed.groupBy(*key, "comp").agg(F.count("*").alias("n"))
-    mixed = (per.groupBy(*key).agg(F.count("*").alias("parts"),
-                                   F.max(F.struct("n", "comp"))["comp"].alias("main"))
-             .where("parts > 1").select(*key, "main"))
-    mixed = cut(placed.join(mixed, key))
+    tested, at, going = star, 0, True
+    while True:
+        # The largest component of a bucket is its main one.
+        placed = (members.drop("rep").join(first.withColumnRenamed("root", "comp"), "node", "left")
+                  .withColumn("comp", F.coalesce("comp", "node")))
+        per = placed.groupBy(*key, "comp").agg(F.count("*").alias("n"))
+        mixed = (per.groupBy(*key).agg(F.count("*").alias("parts"), F.sum("n").alias("n"),
+                                       F.max(F.struct("n", "comp")).alias("main"))
+                 .where("parts > 1").select(*key, F.col("main.comp").alias("main"),
+                                            (F.col("n") - F.col("main.n")).alias("outside"), "n"))
+        mixed = placed.join(mixed, key)
+        mixed = cut(mixed if traits is None else mixed.join(traits, "node"))
+        outside, pairs = mixed.where("comp <> main").agg(F.count("*"), F.sum("n")).first()
+        if not outside or pairs <= PAIRS * outside or not going:
+            break
+        at += 1
+        order = F.struct(F.xxhash64("node", F.lit(at)).alias("order"), F.struct("*").alias("of"))
+        reps = mixed.where("comp = main").groupBy(*key).agg(F.min(order)["of"].alias("rep"))
+        met = mixed.where("comp <> main").join(reps, key).where(
+            may_be_near(F.col, lambda c: F.col(f"rep.{c}")))
+        met = cut(met.select(F.greatest("node", "rep.node").alias("u"), F.least("node", "rep.node").alias("v"))
+                  .distinct().join(tested, ["u", "v"], "left_anti"))
+        tested = tested.unionByName(met)
+        found = cut(verify(met).select("u", "v"))
+        going = found.count() * PROGRESS >= met.count() > 0
+        before = first.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        first = cut(connected_components(before.unionByName(found)))
+        release(members.sparkSession)
     pairs = mixed.where("comp <> main").alias("l").join(
         mixed.alias("r"), [F.col(f"l.{k}") == F.col(f"r.{k}") for k in key])
     once = (F.col("r.comp") == F.col("r.main")) | (F.col("l.node") < F.col("r.node"))
@@ -68,7 +104,7 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
         lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
     pairs = pairs.select(F.greatest("l.node", "r.node").alias("u"),
                          F.least("l.node", "r.node").alias("v")).distinct()
-    untested = cut(pairs.join(star, ["u", "v"], "left_anti"))
+    untested = cut(pairs.join(tested, ["u", "v"], "left_anti"))
     release(members.sparkSession)
     links = first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
         verify(untested).select("u", "v"))
