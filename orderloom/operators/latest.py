@@ -125,6 +125,20 @@ def line_latest_ts(keys: DataFrame, lines: DataFrame,
                                             "line_run_id")
 
 
+def line_winners(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of each line that equal its three separate maxima (strict mode).
+
+    The maxima are a hash aggregate with map-side combine.  Rows meet them on
+    the line *and* the three values, so the rows of a hot line are dealt out
+    by value, and no task holds a line's history.  Rows with ``is_row`` false
+    count for the maxima only."""
+    times = ["occurred", "received", "run_id"]
+    top = rows.groupBy(*key).agg(*[F.max(c).alias(c) for c in times])
+    if "is_row" in rows.columns:
+        rows = rows.where("is_row")
+    return rows.join(top, [*key, *times])
+
+
 def line_latest(keys: DataFrame, lines: DataFrame, run_id: int | None = None,
                 mode: str = "argmax", prefiltered: bool = False) -> DataFrame:
     """Current row of every line of each touched order (deleted lines included,
@@ -134,15 +148,9 @@ def line_latest(keys: DataFrame, lines: DataFrame, run_id: int | None = None,
         cur = (h.groupBy(*LINE_KEY).agg(F.max(argmax_line_struct()).alias("w"))
                .select(*LINE_KEY, "w.*"))
     elif mode == "strict":
-        w = Window.partitionBy(*LINE_KEY)
-        cur = (h.select("*", F.max("occurred").over(w).alias("_mo"),
-                        F.max("received").over(w).alias("_mr"),
-                        F.max("run_id").over(w).alias("_mu"))
-               .where((F.col("occurred") == F.col("_mo")) & (F.col("received") == F.col("_mr"))
-                      & (F.col("run_id") == F.col("_mu")))
-               .select(*LINE_KEY, "occurred", "received",
-                       F.col("run_id").alias("line_run_id"), "prod", "amt",
-                       "is_line_deleted"))
+        cur = line_winners(h, LINE_KEY).select(
+            *LINE_KEY, "occurred", "received", F.col("run_id").alias("line_run_id"),
+            "prod", "amt", "is_line_deleted")
     else:
         raise ValueError(f"unknown line mode {mode!r}")
     return keys.join(cur, ORDER_KEY).select(*LINE_LATEST_COLS)

@@ -152,6 +152,15 @@ _VCOLS = ("run_id, key_bucket, order_id, occurred, received, is_order_deleted, c
           "cust_name, line_cnt, lines_text, seq_string")
 
 
+# Columns that the header feed gains in the course of the replay.
+_NEW = r"""
+NEW AS (
+  SELECT *, CASE WHEN run_id IN (3, 4) THEN n END AS whole, CASE WHEN run_id >= 5 THEN n + 0.5 END AS part,
+         CASE WHEN run_id = 4 THEN n END AS number, CASE WHEN run_id > 4 THEN 'ch' || n END AS word,
+         CASE WHEN run_id = 4 THEN 'note ' || hid END AS note
+  FROM (SELECT *, length(hid) * 3 + length(hcustname) AS n FROM rh_all))"""
+
+
 def _with(*parts: str) -> str:
     return "WITH" + ",".join(parts)
 
@@ -248,6 +257,28 @@ FROM T GROUP BY run_id""",
         "headerless_orders": full + f"""
 SELECT {_VCOLS} FROM FOLD WHERE NOT coalesce(is_order_deleted, false) AND is_order_deleted IS NULL""",
         "incremental_versions": full + f"\nSELECT {_VCOLS} FROM V",
+        "incremental_versions_strict": _full("strict") + f"\nSELECT {_VCOLS} FROM V",
+        "evolved_headers": _with(_BASE, _NEW) + """
+SELECT run_id, key_bucket, hid, hdate, hcust, hcustname, received,
+       CAST(coalesce(whole, part) AS DOUBLE) AS priority, coalesce(CAST(number AS VARCHAR), word) AS channel
+FROM NEW""",
+        "schema_versions": _with(_BASE, _NEW) + """,
+SEEN AS (
+  SELECT run_id, 'priority' AS name, max(CASE WHEN part IS NOT NULL THEN 2 ELSE 1 END) AS wide
+  FROM NEW WHERE coalesce(whole, part) IS NOT NULL GROUP BY run_id
+  UNION ALL
+  SELECT run_id, 'channel', max(CASE WHEN word IS NOT NULL THEN 3 ELSE 1 END)
+  FROM NEW WHERE number IS NOT NULL OR word IS NOT NULL GROUP BY run_id
+  UNION ALL
+  SELECT run_id, 'note', 3 FROM NEW WHERE note IS NOT NULL GROUP BY run_id),
+KIND AS (
+  SELECT a.run_id, a.name, count(*) AS seen, max(b.wide) AS wide
+  FROM SEEN a JOIN SEEN b ON a.name = b.name AND b.run_id <= a.run_id GROUP BY a.run_id, a.name)
+SELECT 'header' AS feed, run_id, name,
+       CASE wide WHEN 1 THEN 'bigint' WHEN 2 THEN 'double' ELSE 'string' END AS kind,
+       CASE WHEN seen = 2 THEN 'added' ELSE 'widened' END AS change
+FROM KIND k
+WHERE seen = 2 OR (seen > 2 AND wide > (SELECT max(wide) FROM KIND e WHERE e.name = k.name AND e.seen = k.seen - 1))""",
         "incremental_latest": full + f"\nSELECT {_VCOLS} FROM FOLD WHERE NOT coalesce(is_order_deleted, false)",
         "stream_latest": full + f"\nSELECT {_VCOLS} FROM FOLD WHERE NOT coalesce(is_order_deleted, false)",
         "line_counts_by_state": full + """

@@ -220,6 +220,28 @@ def q_incremental_latest(spark, sf):
     return flat(incremental.latest(store))
 
 
+def q_incremental_versions_strict(spark, sf):
+    """Strict versions written run by run, from compacted strict line states."""
+    from orderloom.plans.replay import replay_incremental
+    return flat(replay_incremental(spark, sf, _scratch(spark, "incremental"), mode="strict").read("versions"))
+
+
+def q_evolved_headers(spark, sf):
+    """Header records with the columns that turned up on the way, typed."""
+    from orderloom.plans.evolution import read_typed
+    from orderloom.plans.replay import replay_evolving
+    store = replay_evolving(spark, sf, _scratch(spark, "evolving"))
+    return read_typed(store, "raw_headers").select(
+        "run_id", "key_bucket", "hid", "hdate", "hcust", "hcustname", "received", "priority", "channel")
+
+
+def q_schema_versions(spark, sf):
+    """Columns added and widened, by run."""
+    from orderloom.plans.evolution import schema_versions
+    from orderloom.plans.replay import replay_evolving
+    return schema_versions(replay_evolving(spark, sf, _scratch(spark, "evolving")))
+
+
 def q_stream_latest(spark, sf):
     """Latest orders from the Structured Streaming runner over the derived
     feeds dropped as JSON files run by run."""
@@ -281,6 +303,9 @@ QUERIES: dict[str, Query] = {
     "line_counts_by_state": q_line_counts_by_state,
     "incremental_versions": q_incremental_versions,
     "incremental_latest": q_incremental_latest,
+    "incremental_versions_strict": q_incremental_versions_strict,
+    "evolved_headers": q_evolved_headers,
+    "schema_versions": q_schema_versions,
     "stream_latest": q_stream_latest,
     "records_as_json": q_records_as_json,
 }

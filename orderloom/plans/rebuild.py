@@ -152,14 +152,16 @@ def line_states(lines: DataFrame, mode: str = "argmax",
                           F.max("received").over(run).alias("received"),
                           F.col("run_id").alias("line_run_id"))
     if mode == "strict":
-        cum = wl.rangeBetween(_UNB, _CUR)
-        nxt = wl.rangeBetween(1, Window.unboundedFollowing)
-        x = lines.select(*LINE_KEY, "run_id", "occurred", "received", "prod", "amt",
-                         "is_line_deleted",
-                         F.max("occurred").over(cum).alias("_mo"),
-                         F.max("received").over(cum).alias("_mr"),
-                         F.min("run_id").over(nxt).alias("valid_to"))
-        return (x.where((F.col("occurred") == F.col("_mo")) & (F.col("received") == F.col("_mr")))
+        # Running maxima over one row a line and run (map-side combine); the
+        # raw rows meet them on all values, so a hot line's are dealt out.
+        per = lines.groupBy(*LINE_KEY, "run_id").agg(
+            F.max("occurred").alias("_mo"), F.max("received").alias("_mr"))
+        run = wl.rowsBetween(_UNB, _CUR)
+        top = per.select(*LINE_KEY, "run_id", F.lead("run_id").over(wl).alias("valid_to"),
+                         F.max("_mo").over(run).alias("occurred"),
+                         F.max("_mr").over(run).alias("received"))
+        rows = lines.select(*LINE_KEY, "run_id", "occurred", "received", "prod", "amt", "is_line_deleted")
+        return (rows.join(top, [*LINE_KEY, "run_id", "occurred", "received"])
                 .select(*LINE_KEY, F.col("run_id").alias("valid_from"), "valid_to",
                         "occurred", "received", F.col("run_id").alias("line_run_id"),
                         "prod", "amt", "is_line_deleted"))
