@@ -12,7 +12,9 @@ public vocabulary file (its order is the rank); its path is a parameter.
 
 Defined results: a null text counts as empty; a text without spans has an
 empty ``spans``; offsets are code points with the end excluded; repeated rows
-and null ids stay.
+and null ids stay; values of any length are priced whole (linear time); of equally cheap
+segmentations none is preferred, only the cost is told; an empty table gives no rows; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -57,7 +59,8 @@ DATE = re.compile(r"(?:(?:19|20)\d\d)(?:[-/.]?\d{1,2}[-/.]?\d{1,2})?"
 PER_CHAR = 1.0           # log10 guesses of one brute-force character
 PER_SPAN = 0.3           # and of one more span
 DATE_COST = math.log10(365 * 100)
-WORD_CHARS = 24
+WORD_CHARS = 24          # no word of the dictionary is longer
+BLOCKS = (2, 3, 4)       # sizes of repeated blocks
 
 
 def _neighbours() -> dict[str, str]:
@@ -84,15 +87,44 @@ def load_words(path: str) -> dict[str, float]:
     with open(path, "rb") as f:
         for line in f:
             piece = base64.b64decode(line.split()[0]).decode("utf-8", "replace").strip().lower()
-            if len(piece) >= 3 and piece.isascii() and piece.isalpha():
+            if 3 <= len(piece) <= WORD_CHARS and piece.isascii() and piece.isalpha():
                 words.setdefault(piece, math.log10(len(words) + 2))
     return words
 
 
+class Starts:
+    """Starts ``i`` of spans whose price at an end ``j`` is ``cost + log10(j - i)``.
+
+    Only those are held that may be the cheapest at this end or a later one: a
+    start is dropped for a newer one that costs no more (cheaper at every end),
+    and for an older one that is as cheap by now (the difference of the
+    logarithms only shrinks).  Few are left at a time, and no start is missed."""
+
+    def __init__(self):
+        self.held: list[tuple[int, float]] = []
+
+    def add(self, i: int, cost: float) -> None:
+        while self.held and cost <= self.held[-1][1]:
+            self.held.pop()
+        self.held.append((i, cost))
+
+    def cheapest(self, j: int) -> float:
+        low, kept = math.inf, []
+        for i, cost in self.held:
+            price = cost + math.log10(j - i)
+            if price < low:
+                low = price
+                kept.append((i, cost))
+        self.held = kept
+        return low
+
+
 def guess_cost(value: str, words: dict[str, float]) -> float:
     """log10 of the guesses of the cheapest segmentation of ``value``."""
     n = len(value)
     low = value.lower()
+    if len(low) != n:          # a capital whose small form is longer: letter by letter
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     keys = low.translate(SHIFTED)
     dates: dict[int, list[int]] = {}
     for i in range(n):
@@ -101,24 +133,27 @@ def guess_cost(value: str, words: dict[str, float]) -> float:
                 if end - i >= 4:
                     dates.setdefault(end, []).append(i)
     best = [0.0] + [math.inf] * n
-    walk = step = 0            # where the walk and the run that end here began
-    turns = [0] * (n + 1)      # turns of the walk up to here
+    walk = step = 0            # where the longest walk and run that end here began
+    turns = [0] * (n + 1)      # turns of walks up to here
+    walks, steps = Starts(), Starts()
+    same = {size: 0 for size in BLOCKS}                  # places that equal the one a block before
+    blocks = {size: [Starts() for _ in range(size)] for size in BLOCKS}
     for j in range(1, n + 1):
         cost = best[j - 1] + PER_CHAR
         if j > 1:              # keyboard walk
             if keys[j - 1] not in NEAR.get(keys[j - 2], ""):
-                walk = j - 1
-            turn = (j - 2 > walk and ord(keys[j - 1]) != 0
-                    and _direction(keys, j - 1) != _direction(keys, j - 2))
+                walk, walks.held = j - 1, []
+            turn = j - 2 > walk and _direction(keys, j - 1) != _direction(keys, j - 2)
             turns[j] = turns[j - 1] + turn
             if j - walk >= 3:
-                cost = min(cost, best[walk] + PER_SPAN + WALK_START + math.log10(j - walk)
-                           + WALK_TURN * (1 + turns[j] - turns[walk + 1]))
+                walks.add(j - 3, best[j - 3] - WALK_TURN * turns[j - 1])
+                cost = min(cost, walks.cheapest(j) + PER_SPAN + WALK_START + WALK_TURN * (1 + turns[j]))
             delta = ord(low[j - 1]) - ord(low[j - 2])
             if abs(delta) > 1 or (j - 2 > step and delta != ord(low[j - 2]) - ord(low[j - 3])):
-                step = j - 1 if abs(delta) > 1 else j - 2
+                step, steps.held = j - 1 if abs(delta) > 1 else j - 2, []
             if j - step >= 3:  # abcd, 4321, aaaa
-                cost = min(cost, best[step] + PER_SPAN + math.log10(26 * (j - step)))
+                steps.add(j - 3, best[j - 3])
+                cost = min(cost, steps.cheapest(j) + PER_SPAN + math.log10(26))
         for size in range(3, min(WORD_CHARS, j) + 1):
             i = j - size
             rank = words.get(low[i:j])
@@ -127,15 +162,19 @@ def guess_cost(value: str, words: dict[str, float]) -> float:
                 cost = min(cost, best[i] + PER_SPAN + rank + upper)
         for i in dates.get(j, ()):
             cost = min(cost, best[i] + PER_SPAN + DATE_COST)
-        for size in (2, 3, 4):  # repeats of a short block, priced as the block once
-            times = 1
-            while j - size * (times + 1) >= 0 and low[j - size * (times + 1):j - size * times] == low[j - size:j]:
-                times += 1
-                i = j - size * times
-                cost = min(cost, best[i] + PER_SPAN + min(size * PER_CHAR, words.get(low[j - size:j], 9.0))
-                           + math.log10(times))
-                if times >= 64:
-                    break      # more blocks than that begin a new span
+        for size in BLOCKS:    # repeats of a short block, priced as the block once
+            if j <= size or low[j - 1] != low[j - 1 - size]:
+                if same[size] >= size:
+                    for s in blocks[size]:
+                        s.held = []
+                same[size] = 0
+                continue
+            same[size] += 1
+            if same[size] >= size:
+                starts = blocks[size][j % size]
+                starts.add(j - 2 * size, best[j - 2 * size])
+                cost = min(cost, starts.cheapest(j) - math.log10(size) + PER_SPAN
+                           + min(size * PER_CHAR, words.get(low[j - size:j], 9.0)))
         best[j] = cost
     return best[n]
 
