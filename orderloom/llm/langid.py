@@ -15,7 +15,11 @@ shuffle, with the scores of words remembered by each worker.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; rows without a language teach nothing; with nothing learned all is ``und``;
-ties go to the first language in alphabetical order; repeated rows count.
+ties go to the first language in alphabetical order; repeated rows count;
+words of any length, and texts without spaces, are summed whole; a row whose
+``learn_from`` is null (as of a null id) teaches nothing and counts as not
+learned, so it is held out; more than ``MAX_LANGUAGES`` languages are an error;
+an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +39,9 @@ MARK = "▁"               # begins a word
 ROUNDS = 2               # of expectation-maximisation
 MAX_LANGUAGES = 1000     # bound of the model that tasks are sent
 SMOOTH = 0.5             # added to every expected count
-WORD_CHARS = 24          # a longer word is scored in parts of so many letters
+WORD_CHARS = 24          # longer words are summed in logarithms, and not remembered
 WORDS_AT_ONCE = 4096     # words of one lattice
+CELLS = 1 << 18          # letters of a lattice of longer words, if it has more than one
 CACHE_WORDS = 1 << 19    # words remembered by a worker
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -146,24 +151,61 @@ def forward(word: np.ndarray, start: np.ndarray, end: np.ndarray, p: np.ndarray,
     return sums
 
 
+def log_forward(word: np.ndarray, start: np.ndarray, end: np.ndarray, logs: np.ndarray,
+                n_words: int) -> np.ndarray:
+    """``forward`` in logarithms, for words whose probability is no double."""
+    places = int(end.max()) + 1 if len(end) else 1
+    sums = np.full((n_words, places) + logs.shape[1:], -np.inf)
+    sums[:, 0] = 0
+    cuts = np.searchsorted(end, np.arange(places + 1))
+    for e in range(1, places):
+        a, b = cuts[e], cuts[e + 1]
+        if a < b:
+            w = word[a:b]
+            first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            terms = sums[w, start[a:b]] + logs[a:b]
+            most = np.maximum.reduceat(terms, first, axis=0)
+            share = np.exp(terms - np.repeat(most, np.diff(np.append(first, b - a)), axis=0))
+            sums[w[first], e] = most + np.log(np.add.reduceat(share, first, axis=0))
+    return sums
+
+
+def lattices(words: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
+    """Places of the words of one lattice, and whether they are long ones:
+    words of like length, with ``CELLS`` letters at most, or a single word."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    short = np.flatnonzero(sizes <= WORD_CHARS)
+    for at in range(0, len(short), WORDS_AT_ONCE):
+        yield short[at:at + WORDS_AT_ONCE], False
+    long = np.flatnonzero(sizes > WORD_CHARS)
+    long = long[np.argsort(sizes[long], kind="stable")]
+    while len(long):
+        fits = np.arange(1, len(long) + 1) * sizes[long] <= CELLS
+        n = max(1, int(np.argmin(fits)) if not fits.all() else len(long))
+        yield long[:n], True
+        long = long[n:]
+
+
 def expected_counts(lattice: Lattice, words: list[str], langs: np.ndarray, n: np.ndarray,
                     probs: np.ndarray) -> np.ndarray:
     """Expected pieces, ``(pieces + 1, languages)``, in words of one language each."""
-    word, start, end, piece, sizes = lattice.arcs(words)
-    p = probs[piece, langs[word]]
-    alpha = forward(word, start, end, p, len(words))
-    # Backward is forward on the reversed words.
-    size = sizes[word]
-    order = np.lexsort((word, size - start))
-    beta = forward(word[order], (size - end)[order], (size - start)[order], p[order], len(words))
-    total = alpha[np.arange(len(words)), sizes]
-    share = alpha[word, start] * p * beta[word, size - end] / total[word] * n[word]
-    n_langs = probs.shape[1]
-    return np.bincount(piece * n_langs + langs[word], share, probs.size).reshape(probs.shape)
-
-
-def parts(word: str) -> list[str]:
-    return [word[i:i + WORD_CHARS] for i in range(0, len(word), WORD_CHARS)]
+    out = np.zeros(probs.shape)
+    for of, long in lattices(words):
+        word, start, end, piece, sizes = lattice.arcs([words[i] for i in of])
+        lang, size, k = langs[of], sizes[word], len(of)
+        p = probs[piece, lang[word]]
+        # Backward is forward on the reversed words.
+        back = np.lexsort((word, size - start))
+        sums = log_forward if long else forward
+        p = np.log(p) if long else p
+        alpha = sums(word, start, end, p, k)
+        beta = sums(word[back], (size - end)[back], (size - start)[back], p[back], k)
+        total = alpha[np.arange(k), sizes][word]
+        share = (np.exp(alpha[word, start] + p + beta[word, size - end] - total) if long
+                 else alpha[word, start] * p * beta[word, size - end] / total)
+        n_langs = probs.shape[1]
+        out += np.bincount(piece * n_langs + lang[word], share * n[of][word], probs.size).reshape(probs.shape)
+    return out
 
 
 def train(counts: DataFrame, pieces: list[str], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -183,10 +225,9 @@ def train(counts: DataFrame, pieces: list[str], rounds: int = ROUNDS) -> tuple[l
             lattice, place = Lattice(pieces), {g: i for i, g in enumerate(langs)}
 
             def f(b: pa.RecordBatch) -> pa.RecordBatch:
-                rows = [(q, place[g], n) for g, w, n in zip(*(b.column(c).to_pylist() for c in (
-                    "lang", "word", "n"))) for q in parts(w)]
-                got = expected_counts(lattice, [r[0] for r in rows], np.array([r[1] for r in rows]),
-                                      np.array([r[2] for r in rows], float), probs)
+                lang = np.array([place[g] for g in b.column("lang").to_pylist()], np.int64)
+                n = b.column("n").to_numpy().astype(float)
+                got = expected_counts(lattice, b.column("word").to_pylist(), lang, n, probs)
                 k, g = np.nonzero(got)
                 return pa.RecordBatch.from_arrays(
                     [pa.array(k), pa.array(g), pa.array(got[k, g])], names=["piece", "lang", "e"])
@@ -211,28 +252,26 @@ class Scorer:
         self.logs = np.zeros((1 << 12, probs.shape[1]))
 
     def score(self, words: list[str]) -> np.ndarray:
-        split = [parts(w) for w in words]
-        owner = np.repeat(np.arange(len(words)), [len(s) for s in split])
-        flat = [q for s in split for q in s]
         out = np.zeros((len(words), self.probs.shape[1]))
-        for at in range(0, len(flat), WORDS_AT_ONCE):
-            some = flat[at:at + WORDS_AT_ONCE]
-            word, start, end, piece, sizes = self.lattice.arcs(some)
-            sums = forward(word, start, end, self.probs[piece], len(some))
-            np.add.at(out, owner[at:at + WORDS_AT_ONCE], np.log(sums[np.arange(len(some)), sizes]))
+        for of, long in lattices(words):
+            word, start, end, piece, sizes = self.lattice.arcs([words[i] for i in of])
+            p, at = self.probs[piece], np.arange(len(of))
+            out[of] = (log_forward(word, start, end, np.log(p), len(of))[at, sizes] if long
+                       else np.log(forward(word, start, end, p, len(of))[at, sizes]))
         return out
 
     def texts(self, texts: list[list[str]]) -> np.ndarray:
         """The summed log-probabilities of each list of words."""
         place, known = self.place, len(self.place)
         fresh = [w for w in dict.fromkeys(w for t in texts for w in t) if w not in place]
+        fresh.sort(key=lambda w: len(w) > WORD_CHARS)
         if known + len(fresh) > len(self.logs):
             grown = np.zeros((2 * (known + len(fresh)), self.logs.shape[1]))
             grown[:known] = self.logs[:known]
             self.logs = grown
         if fresh:
             self.logs[known:known + len(fresh)] = self.score(fresh)
-        kept = max(0, min(len(fresh), CACHE_WORDS - known))
+        kept = max(0, min(sum(len(w) <= WORD_CHARS for w in fresh), CACHE_WORDS - known))
         place.update(zip(fresh[:kept], range(known, known + kept)))
         rest = dict(zip(fresh[kept:], range(known + kept, known + len(fresh))))
         out = np.zeros((len(texts), self.probs.shape[1]))

@@ -152,31 +152,56 @@ def test_url_empty_tables(spark):
 
 
 def _brute_word(word, pieces, probs):
-    """The sum over all segmentations, by recursion."""
-    if not word:
-        return 1.0
-    total = 0.0
-    for j in range(1, len(word) + 1):
-        if word[:j] in pieces:
-            total += probs[pieces.index(word[:j])] * _brute_word(word[j:], pieces, probs)
-        elif j == 1:
-            total += probs[-1] * _brute_word(word[1:], pieces, probs)
-    return total
+    """The sum over all segmentations, by the suffixes of the word."""
+    from fractions import Fraction
+    share = {p: Fraction(float(q)) for p, q in zip(pieces, probs)}
+    sums = [Fraction(0)] * len(word) + [Fraction(1)]
+    for i in reversed(range(len(word))):
+        for j in range(i + 1, len(word) + 1):
+            q = share.get(word[i:j], Fraction(float(probs[-1])) if j == i + 1 else None)
+            if q is not None:
+                sums[i] += q * sums[j]
+    return math.log(sums[0].numerator) - math.log(sums[0].denominator)
 
 
 def test_forward_sums_all_segmentations():
     import numpy as np
     pieces = ["▁", "▁a", "a", "ab", "b", "bc", "▁ab"]
-    probs = np.random.default_rng(0).random((len(pieces) + 1, 2))
+    rng = np.random.default_rng(0)
+    probs = rng.random((len(pieces) + 1, 2)) / 1e4
     scorer = langid.Scorer(pieces, probs)
-    words = ["abcab", "z", "aaa", "bc" * 30]
-    got = np.exp(scorer.score(words))
+    words = ["abcab", "z", "aaa", "bc" * 30, "".join(rng.choice(list("abcz"), 45)),
+             "abzcab" * 60, "a" * langid.WORD_CHARS, "a" * (langid.WORD_CHARS + 1)]
+    got = scorer.score(words)
     for w, g in zip(words, got):
-        want = [math.prod(_brute_word(langid.MARK + q, pieces, list(probs[:, i]))
-                          for q in langid.parts(w)) for i in range(2)] if len(w) < 9 else g
-        assert g == pytest.approx(want)
-    # Remembered and fresh words score alike.
-    assert scorer.texts([["abcab", "z"], ["z"], []])[1] == pytest.approx(np.log(got[1]))
+        assert g == pytest.approx([_brute_word(langid.MARK + w, pieces, probs[:, i]) for i in range(2)])
+    # Remembered and fresh words score alike; long words are not remembered.
+    for _ in range(2):
+        assert scorer.texts([["abcab", "z"], ["z", words[5]], []])[1] == pytest.approx(got[1] + got[5])
+    assert words[5] not in scorer.place and "z" in scorer.place
+
+
+def test_lattices_take_every_word_once():
+    words = ["a" * n for n in (1, 5, 30, 24, 25, 300_000, 40, 0)]
+    got = [(list(of), long) for of, long in langid.lattices(words)]
+    assert sorted(i for of, _ in got for i in of) == list(range(8))
+    assert all(long == (len(words[i]) > langid.WORD_CHARS) for of, long in got for i in of)
+    assert ([5], True) in got
+
+
+def test_expected_counts_of_long_words():
+    """Logarithms and plain sums agree, and a piece's expected count is the
+    derivative of the log-probability."""
+    import numpy as np
+    pieces = ["▁", "▁a", "a", "ab", "b", "bc", "c"]
+    lattice, probs = langid.Lattice(pieces), np.random.default_rng(1).random((8, 1)) / 10
+    word = "abcabacab" * 5
+    got = langid.expected_counts(lattice, [word], np.array([0]), np.array([2.0]), probs)[:, 0]
+    for k in range(7):
+        up = probs.copy()
+        up[k] *= 1 + 1e-6
+        grown = langid.Scorer(pieces, up).score([word]) - langid.Scorer(pieces, probs).score([word])
+        assert got[k] == pytest.approx(2 * grown[0, 0] / 1e-6, rel=1e-3, abs=1e-6)
 
 
 def test_expected_counts_add_up():
@@ -210,3 +235,60 @@ def test_langid_held_out_accuracy(spark):
 
 def test_words_pattern_of_the_scan_is_letters():
     assert re.fullmatch(langid.LETTERS, "é") and not re.fullmatch(langid.LETTERS, "5")
+
+
+def _span_cost(value, words):
+    """The price of a value as one span; infinite if it is none."""
+    S, n, low = secret_scan, len(value), value.lower()
+    prices = [math.inf]
+    if n == 1:
+        prices.append(S.PER_CHAR)
+    if low in words:
+        prices.append(S.PER_SPAN + words[low] + (0 if value == low else 0.3 if value.istitle() else 1))
+    if n >= 3:
+        keys = low.translate(S.SHIFTED)
+        if all(b in S.NEAR.get(a, "") for a, b in zip(keys, keys[1:])):
+            ways = [S._direction(keys, i) for i in range(1, n)]
+            turns = sum(a != b for a, b in zip(ways, ways[1:]))
+            prices.append(S.PER_SPAN + S.WALK_START + math.log10(n) + S.WALK_TURN * (1 + turns))
+        steps = {ord(b) - ord(a) for a, b in zip(low, low[1:])}
+        if len(steps) == 1 and steps <= {-1, 0, 1}:
+            prices.append(S.PER_SPAN + math.log10(26 * n))
+    for size in S.BLOCKS:
+        if n % size == 0 and n >= 2 * size and low == low[:size] * (n // size):
+            prices.append(S.PER_SPAN + min(size, words.get(low[:size], 9.0)) + math.log10(n // size))
+    return min(prices)
+
+
+def _brute_cost(value, words):
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        ends = [best[i] + _span_cost(value[i:j], words) for i in range(j)]
+        for i in range(j):
+            m = secret_scan.DATE.match(value, i) if value[i].isdigit() else None
+            if m and j in (m.end(), min(m.end(), i + 4)) and j - i >= 4:
+                ends.append(best[i] + secret_scan.PER_SPAN + secret_scan.DATE_COST)
+        best.append(min(ends))
+    return best[-1]
+
+
+def test_guess_cost_is_the_minimum():
+    import random
+    rng, words = random.Random(5), {"pass": 2.5, "password": 0.5, "word": 2.0, "was": 1.5, "abc": 3.0}
+    values = ["passwordert", "passwordwordword", "Password1999", "qwedcvfr", "20201231x", "aaaaqweaaa", "xy" * 60]
+    for letters in ("ab", "abc", "qwas", "pasword", "aAbB12", "1290/"):
+        values += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(60)]
+    for v in values:
+        assert secret_scan.guess_cost(v, words) == pytest.approx(_brute_cost(v, words)), v
+
+
+def test_repeats_of_any_length_stay_cheap():
+    import time
+    cost = lambda v: secret_scan.guess_cost(v, {})
+    for block in ("xy", "hat", "k9#z"):
+        for times in (2, 60, 64, 65, 200, 500):
+            assert cost(block * times) == pytest.approx(
+                secret_scan.PER_SPAN + len(block) + math.log10(times)), (block, times)
+    at = time.process_time()
+    assert cost("xy" * 200_000) < 10
+    assert time.process_time() - at < 20
