@@ -9,7 +9,8 @@ candidates.  Two necessary conditions of the similarity, on the sizes of the
 shingle sets and on ``LANES`` words of parity bits of their shingles, discard
 most of them inside the join (neither ever discards a similar pair: the bits
 that differ are at most the shingles that differ); the exact Jaccard similarity
-verifies the others, and a distributed union-find makes the groups.  Of each group the occurrence
+of the whole shingle sets, shingles named by 64-bit hashes, verifies the others,
+and a distributed union-find makes the groups.  Of each group the occurrence
 with the smallest (id, line number) stays.
 
 Scale: the texts are shuffled once, to be rebuilt; what else moves are hashes.
@@ -46,6 +47,7 @@ SEED = 42                # of the node hash; the same as the SQL function's
 AT_ONCE = 64             # documents whose lines are hashed at once
 SEEN = 200_000           # lines that a task remembers to have hashed
 LANES = 8                # 64-bit words of parity bits
+HELD = 4_000_000         # shingle hashes that a task keeps between slices
 
 
 def normalised(line: str) -> str:
@@ -103,6 +105,24 @@ def parity_bits(lines: list[str], k: int = SHINGLE, lanes: int = LANES) -> tuple
     return np.array(counts, np.int64), np.array(words, np.int64).reshape(-1, lanes)
 
 
+def shingle_sets(lines: list[str], k: int = SHINGLE) -> list[np.ndarray]:
+    """The distinct shingles of each normalised line as sorted 64-bit hashes."""
+    if not lines:
+        return []
+    hashes, starts = shingle_hashes(lines, k, np.uint64(0x9E3779B97F4A7C15))
+    return [np.unique(part) for part in np.split(hashes, starts[1:])]
+
+
+def similar_sets(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """As ``similar``, of two sorted arrays of distinct hashes."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")                 # two sorted runs: a merge
+    common = np.count_nonzero(both[1:] == both[:-1])
+    return bool(common >= similarity * (len(x) + len(y) - common))
+
+
 def signatures(lines: list[str], k: int = SHINGLE, n: int = ROWS * BANDS) -> np.ndarray:
     """MinHash values, ``(len(lines), n)``, of normalised lines."""
     hashes, starts = shingle_hashes(lines, k, np.uint32(0x9E3779B1))   # 32 bits: few collide
@@ -227,17 +247,21 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataF
             .join(texts.select(F.col("node").alias("v"), F.col("line").alias("b")), "v"))
 
     def setup():
-        last: tuple[str | None, set[str]] = (None, set())
+        sets: dict[int, np.ndarray] = {}     # of the lines compared last
+        held = 0
 
         def f(b: pa.RecordBatch) -> pa.RecordBatch:
-            nonlocal last
-            near = []
-            for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
-                if y != last[0]:             # the join leaves equal ones together
-                    last = (y, shingles(normalised(y)))
-                line, other = normalised(x), last[1]
-                near.append(max(len(line) - SHINGLE + 1, 1) >= similarity * len(other)
-                            and similar(shingles(line), other, similarity))
+            nonlocal held
+            u, v = b.column("u").to_pylist(), b.column("v").to_pylist()
+            if held > HELD:
+                sets.clear()
+                held = 0
+            new = {n: i for side in (u, v) for i, n in enumerate(side) if n not in sets}
+            texts = {n: b.column("a" if u[i] == n else "b")[i].as_py() for n, i in new.items()}
+            for n, hashes in zip(texts, shingle_sets([normalised(x) for x in texts.values()])):
+                sets[n] = hashes
+                held += len(hashes)
+            near = [similar_sets(sets[x], sets[y], similarity) for x, y in zip(u, v)]
             return b.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
         return f
 

@@ -360,6 +360,7 @@ def test_parity_bits_never_discard_a_similar_pair():
     size, words = line_dedup.parity_bits(lines)
     sets = [line_dedup.shingles(x) for x in lines]
     assert [len(s) for s in sets] == list(size)
+    hashed = line_dedup.shingle_sets(lines)
     discarded = 0
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
@@ -368,6 +369,7 @@ def test_parity_bits_never_discard_a_similar_pair():
             may = (min(len(a), len(b)) >= 0.8 * max(len(a), len(b))
                    and differ <= 0.2 / 1.8 * (len(a) + len(b)) + 0.001)
             assert may or not line_dedup.similar(a, b, 0.8)
+            assert line_dedup.similar_sets(hashed[i], hashed[j], 0.8) == line_dedup.similar(a, b, 0.8)
             discarded += not may
     assert discarded > len(lines) ** 2 / 2
 
