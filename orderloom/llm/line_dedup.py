@@ -225,6 +225,11 @@ def line_traits(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_slices(lines, schema, setup)
 
 
+def differing_bits(l: Side, r: Side) -> Column:  # noqa: E741
+    """How many parity bits differ."""
+    return sum(((F.bit_count(l(f"b{i}").bitwiseXOR(r(f"b{i}")))) for i in range(LANES)), F.lit(0))
+
+
 def may_be_similar(l: Side, r: Side, similarity: float) -> Column:  # noqa: E741
     """Necessary conditions of a Jaccard similarity: the smaller set has its
     share of the larger one, and the parity bits that differ, never more than
@@ -232,8 +237,7 @@ def may_be_similar(l: Side, r: Side, similarity: float) -> Column:  # noqa: E741
     is let through, for the rounding of the share.)"""
     sizes = l("size") + r("size")
     share = F.least(l("size"), r("size")) >= similarity * F.greatest(l("size"), r("size")) - 0.001
-    differ = sum(((F.bit_count(l(f"b{i}").bitwiseXOR(r(f"b{i}")))) for i in range(LANES)), F.lit(0))
-    return share & (differ <= sizes * ((1 - similarity) / (1 + similarity)) + 0.001)
+    return share & (differing_bits(l, r) <= sizes * ((1 - similarity) / (1 + similarity)) + 0.001)
 
 
 def similar_pairs(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -288,7 +292,8 @@ def line_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     traits = cut(line_traits(texts, members.select("node").distinct()))
     release(docs.sparkSession)
     return near_groups(members, ["key"], lambda pairs: similar_pairs(texts, pairs, similarity),
-                       lambda l, r: may_be_similar(l, r, similarity), traits)  # noqa: E741
+                       lambda l, r: may_be_similar(l, r, similarity), traits,  # noqa: E741
+                       lambda l, r: differing_bits(l, r) / (l("size") + r("size")))  # noqa: E741
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",

@@ -9,8 +9,11 @@ take the square of its size, and a bucket may hold a third of all rows, so:
 3. where buckets still hold several components and would make many pairs, the
    members outside a bucket's largest component meet a new representative of
    it, again one comparison each, as long as that still unites many;
-4. what is left outside is compared with the members of the other components.
+4. what is left outside is paired with the members of the other components.
    Pairs inside one component need no comparison: they are connected already.
+   Where a measure ``gap`` of unlikeness is given, every component's most alike
+   pair is verified first and what is near united, as long as that unites
+   many; then all pairs that still lie across components are verified.
 
 Step 4 makes the result exact: every pair that shares a bucket is connected or
 compared, and none is compared twice.  A cheap necessary condition
@@ -48,13 +51,15 @@ def shared_buckets(members: DataFrame, key: list[str], payload: list[str] = [])
 
 def near_groups(members: DataFrame, key: list[str], verify: Verify,
                 may_be_near: Callable[[Side, Side], Column] = lambda l, r: F.lit(True),  # noqa: E741
-                traits: DataFrame | None = None) -> DataFrame:
+                traits: DataFrame | None = None,
+                gap: Callable[[Side, Side], Column] | None = None) -> DataFrame:
     """``(node, root)`` for every node that is not the smallest of its group.
 
     ``members`` comes from ``shared_buckets`` and should be a cheap table (it
     is read several times).  ``may_be_near(l, r)`` is a condition of a pair
     from two functions that give a side's ``node`` or payload column, and
-    ``verify(pairs(u, v))`` returns the pairs that are near indeed.  Wide
+    ``verify(pairs(u, v))`` returns the pairs that are near indeed.
+    ``gap(l, r)`` orders pairs, the likeliest to be near first.  Wide
     payload, one row a node, can come as ``traits(node, ...)`` instead; it
     only meets the pairs of step 1 and the members of mixed buckets.
     """
@@ -102,10 +107,45 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
     once = (F.col("r.comp") == F.col("r.main")) | (F.col("l.node") < F.col("r.node"))
     pairs = pairs.where((F.col("l.comp") != F.col("r.comp")) & once & may_be_near(
         lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
+    scored = [] if gap is None else [gap(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")).alias("gap")]
     pairs = pairs.select(F.greatest("l.node", "r.node").alias("u"),
-                         F.least("l.node", "r.node").alias("v")).distinct()
+                         F.least("l.node", "r.node").alias("v"), *scored).distinct()
     untested = cut(pairs.join(tested, ["u", "v"], "left_anti"))
     release(members.sparkSession)
+    if gap is not None:
+        first, untested = most_alike_first(first, untested, verify)
     links = first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
-        verify(untested).select("u", "v"))
+        verify(untested.select("u", "v")).select("u", "v"))
     return connected_components(links)
+
+
+def most_alike_first(groups: DataFrame, pairs: DataFrame, verify: Verify) -> tuple[DataFrame, DataFrame]:
+    """``groups(node, root)`` with more links, and what of ``pairs(u, v, gap)``
+    still lies across two groups and is unverified.  Only pairs whose ends got
+    connected, or that were verified, leave ``pairs``."""
+    while True:
+        side = {x: groups.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "uv"}
+        placed = (pairs.join(side["u"], "u", "left").join(side["v"], "v", "left")
+                  .select("u", "v", "gap", F.coalesce("u_root", "u").alias("c"),
+                          F.coalesce("v_root", "v").alias("d")).where("c <> d"))
+        placed = cut(placed)
+        best = cut(placed.select(F.explode(F.array("c", "d")).alias("c"), "gap", "u", "v")
+                   .groupBy("c").agg(F.min(F.struct("gap", "u", "v")).alias("best"))
+                   .select("best.u", "best.v").distinct())
+        n, tried = placed.count(), best.count()
+        pairs = placed.select("u", "v", "gap")
+        if n < 2 * tried or not tried:       # about one pair a group: verify them all
+            return groups, pairs
+        found = cut(verify(best).select("u", "v"))
+        pairs = pairs.join(best, ["u", "v"], "left_anti")
+        if not found.count():
+            return groups, pairs
+        before = groups.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        groups = cut(connected_components(before.unionByName(found)))
+        release(groups.sparkSession)
+        if found.count() * PROGRESS < tried:
+            break
+    side = {x: groups.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "uv"}
+    across = F.coalesce("u_root", "u") != F.coalesce("v_root", "v")
+    return groups, cut(pairs.join(side["u"], "u", "left").join(side["v"], "v", "left")
+                       .where(across).select("u", "v", "gap"))
