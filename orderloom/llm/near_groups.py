@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import cut, release
+from orderloom.llm.common import Folder, cut, release
 from orderloom.llm.components import connected_components
 
 PAIRS = 64               # pairs of a member outside that step 4 takes without another round
@@ -75,6 +75,7 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
     first = cut(connected_components(verify(star)))
     release(members.sparkSession)
     tested, at, going = star, 0, True
+    kept: list[Folder] = []                  # of the tables of mixed buckets, the widest ones
     while True:
         # The largest component of a bucket is its main one.
         placed = (members.drop("rep").join(first.withColumnRenamed("root", "comp"), "node", "left")
@@ -85,7 +86,10 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
                  .where("parts > 1").select(*key, F.col("main.comp").alias("main"),
                                             (F.col("n") - F.col("main.n")).alias("outside"), "n"))
         mixed = placed.join(mixed, key)
-        mixed = cut(mixed if traits is None else mixed.join(traits, "node"))
+        kept.append(Folder(members.sparkSession, "near-groups"))
+        mixed = kept[-1].written(mixed if traits is None else mixed.join(traits, "node"))
+        if len(kept) > 1:
+            kept.pop(0).remove()             # nothing reads the last round's any more
         outside, pairs = mixed.where("comp <> main").agg(F.count("*"), F.sum("n")).first()
         if not outside or pairs <= PAIRS * outside or not going:
             break
@@ -111,6 +115,7 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
     pairs = pairs.select(F.greatest("l.node", "r.node").alias("u"),
                          F.least("l.node", "r.node").alias("v"), *scored).distinct()
     untested = cut(pairs.join(tested, ["u", "v"], "left_anti"))
+    kept.pop().remove()
     release(members.sparkSession)
     if gap is not None:
         first, untested = most_alike_first(first, untested, verify)
