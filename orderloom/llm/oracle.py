@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from orderloom.llm.license_scan import TEMPLATES, template_rows
+from orderloom.llm.url_reputation import SUFFIXES
 
 OP8 = r"""
 WITH p AS (
@@ -14,14 +15,35 @@ WITH p AS (
 o AS (SELECT doc_id AS page_id, CASE WHEN quality = 1 AND toxic = 0 THEN 1
              WHEN quality <> 1 OR toxic <> 0 THEN 0 END AS good FROM labels),
 a AS (SELECT (coalesce(sum(good), 0) + 1) / (count(good) + 2)::DOUBLE AS m FROM o),
-h AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-             string_split(host, '.')[-1] AS suffix,
-             coalesce(sum(good), 0)::DOUBLE AS g, count(good)::DOUBLE AS n
-      FROM p LEFT JOIN o USING (page_id) GROUP BY host),
-s AS (SELECT suffix, ((SELECT m FROM a) * 20 + sum(g)) / (sum(n) + 20) AS sm FROM h GROUP BY suffix),
-d AS (SELECT domain, (any_value(sm) * 20 + sum(g)) / (sum(n) + 20) AS dm
-      FROM h JOIN s USING (suffix) GROUP BY domain),
-b AS (SELECT host, dm * 20 + g AS a, (1 - dm) * 20 + n - g AS b FROM h JOIN d USING (domain)),
+h0 AS (SELECT host, regexp_replace(host, ':[0-9]*$', '') AS name,
+              coalesce(sum(good), 0)::DOUBLE AS g, count(good)::DOUBLE AS n
+       FROM p LEFT JOIN o USING (page_id) GROUP BY host),
+h1 AS (SELECT *, string_split(name, '.') AS parts, regexp_full_match(name, '[0-9.]+') OR starts_with(name, '[') AS ip,
+              array_to_string(string_split(name, '.')[-2:], '.') IN (SUFFIX_LIST) AS two FROM h0),
+h AS (SELECT host, g, n, CASE WHEN ip THEN name WHEN two THEN array_to_string(parts[-3:], '.')
+                              ELSE array_to_string(parts[-2:], '.') END AS domain,
+             CASE WHEN ip THEN name WHEN two THEN array_to_string(parts[-2:], '.') ELSE parts[-1] END AS suffix
+      FROM h1),
+d0 AS (SELECT domain, suffix, sum(g) AS g, sum(n) AS n, sum(CASE WHEN n > 0 THEN g * g / n ELSE 0 END) AS q,
+              sum(n * n) AS n2, count(*) FILTER (n > 0) AS k FROM h GROUP BY domain, suffix),
+s0 AS (SELECT suffix, sum(g) AS g, sum(n) AS n, sum(CASE WHEN n > 0 THEN g * g / n ELSE 0 END) AS q,
+              sum(n * n) AS n2, count(*) FILTER (n > 0) AS k FROM d0 GROUP BY suffix),
+t0 AS (SELECT sum(g) AS g, sum(n) AS n, sum(CASE WHEN n > 0 THEN g * g / n ELSE 0 END) AS q,
+              sum(n * n) AS n2, count(*) FILTER (n > 0) AS k FROM s0),
+lv AS (SELECT 'd' AS lev, * FROM d0 UNION ALL SELECT 's', NULL, * FROM s0 UNION ALL SELECT 't', NULL, NULL, * FROM t0),
+sq AS (SELECT *, CASE WHEN n > 0 THEN q - g * g / n ELSE 0 END AS s,
+              CASE WHEN n > 0 THEN g * (n - g) / (n * n) * (k - 1) ELSE 0 END AS w,
+              CASE WHEN n > 0 THEN g * (n - g) / (n * n) * (n - n2 / n) ELSE 0 END AS v FROM lv),
+pool AS (SELECT lev, CASE WHEN sum(v) - sum(w) > 1e-9 THEN
+                1 / least(greatest((sum(s) - sum(w)) / (sum(v) - sum(w)), 1e-4), 0.5) - 1 ELSE 20 END AS st
+         FROM sq GROUP BY lev),
+fit AS (SELECT sq.*, CASE WHEN k >= 10 AND v - w > 1e-9 THEN
+               1 / least(greatest((s - w) / (v - w), 1e-4), 0.5) - 1 ELSE st END AS st FROM sq JOIN pool USING (lev)),
+sfx AS (SELECT suffix, st, ((SELECT m FROM a) * (SELECT st FROM fit WHERE lev = 't') + g)
+                           / (n + (SELECT st FROM fit WHERE lev = 't')) AS sm FROM fit WHERE lev = 's'),
+d AS (SELECT domain, suffix, f.st AS ds, (sm * sfx.st + g) / (n + sfx.st) AS dm
+      FROM fit f JOIN sfx USING (suffix) WHERE lev = 'd'),
+b AS (SELECT host, dm * ds + g AS a, (1 - dm) * ds + n - g AS b FROM h JOIN d USING (domain, suffix)),
 v AS (SELECT host, CASE WHEN a / (a + b) - 2 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) < 0.5
                         THEN 'block' ELSE 'allow' END AS verdict FROM b),
 r(rule, rhost, rpath, rverdict) AS (VALUES ('net/', 'net', '/', 'block'),
@@ -33,7 +55,7 @@ f AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(rverdict,
       GROUP BY host, path)
 SELECT page_id, host, path, rule, coalesce(rv, verdict) AS verdict
 FROM p LEFT JOIN f USING (host, path) JOIN v USING (host)
-"""
+""".replace("SUFFIX_LIST", ", ".join(f"'{x}'" for x in SUFFIXES))
 
 
 def _list(values: list[str]) -> str:

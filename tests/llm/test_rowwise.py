@@ -8,6 +8,7 @@ import re
 import duckdb
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from orderloom.llm import langid, license_scan, secret_scan, token_counts, url_reputation
@@ -292,3 +293,45 @@ def test_repeats_of_any_length_stay_cheap():
     at = time.process_time()
     assert cost("xy" * 200_000) < 10
     assert time.process_time() - at < 20
+
+
+def plain_strength(children):
+    """Children's (good, all) counts to the moments s, w, v."""
+    seen = [(g, n) for g, n in children if n]
+    good, n = sum(g for g, _ in seen), sum(n for _, n in seen)
+    p = good / n
+    return (sum(m * (g / m - p) ** 2 for g, m in seen), p * (1 - p) * (len(seen) - 1),
+            p * (1 - p) * (n - sum(m * m for _, m in seen) / n))
+
+
+def test_url_strength_differs_between_domains(spark):
+    """Hosts of one domain are alike, those of the other all good or all bad."""
+    counts = {f"h{i}.alike.com": (5, 10) for i in range(12)}
+    counts |= {f"h{i}.mixed.com": (10 * (i % 2), 10) for i in range(12)}
+    pages, outcomes = [("http://new.alike.com/",), ("http://new.mixed.com/",)], []
+    for host, (good, n) in counts.items():
+        for j in range(n):
+            outcomes.append((len(pages), j < good))
+            pages.append((f"http://{host}:80/{j}",))
+    pages = [(i, url) for i, (url,) in enumerate(pages)]
+    rows = {r.host.split(":")[0]: r for r in url_reputation.host_reputation(
+        spark.createDataFrame(pages, "page_id int, url string").select(
+            "page_id", url_reputation.url_host(F.col("url")).alias("host")),
+        spark.createDataFrame(outcomes, "page_id int, good boolean").select(
+            "page_id", F.col("good").cast("long").alias("good")), 2.0).collect()}
+    for name in ("alike", "mixed"):
+        s, w, v = plain_strength([c for h, c in counts.items() if name in h])
+        want = 1 / min(max((s - w) / (v - w), 1e-4), 0.5) - 1
+        assert rows[f"new.{name}.com"].a + rows[f"new.{name}.com"].b == pytest.approx(want)
+    assert rows["new.alike.com"].bound > 0.45 > rows["new.mixed.com"].bound
+    assert rows["h1.mixed.com"].bound > 0.5 > rows["h0.mixed.com"].bound
+
+
+def test_registered_domains(spark):
+    hosts = ["a.b.co.uk", "co.uk", "x.y.com:8080", "10.0.0.1", "10.0.0.1:80", "[::1]:80", "one", ""]
+    domain, suffix = url_reputation.registered_domain(F.col("h"))
+    got = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", domain.alias("d"), suffix.alias("s"))
+    assert {r.h: (r.d, r.s) for r in got.collect()} == {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.com:8080": ("y.com", "com"),
+        "10.0.0.1": ("10.0.0.1",) * 2, "10.0.0.1:80": ("10.0.0.1",) * 2, "[::1]:80": ("[::1]",) * 2,
+        "one": ("one", "one"), "": ("", "")}
