@@ -1,7 +1,7 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Every text gets base counts and rule scores.  Labelled rows are split by a
-hash of their id into a fit fold and a holdout.  On the fit fold a lexicon of
+hash of their text into a fit fold and a holdout.  On the fit fold a lexicon of
 words that mark bad documents is learned, and for each stratum and rule the
 cutoff with the best balance of bad rows caught and good rows lost is chosen.
 The holdout then tests a family of relaxed versions of these cutoffs: a
@@ -19,8 +19,9 @@ with the labels by id.  Scoring covers whole texts of all documents without a
 shuffle.  The cutoffs are broadcast after their number is counted.
 
 Defined results: a null text has no words and fails the base rule; a null
-stratum is a stratum of its own; repeated rows are scored alike; rows that are
-labelled more than once count once per label, and null labels are ignored.
+stratum is a stratum of its own; repeated rows are scored alike; labelled rows
+of equal text and stratum are one trial, bad where all their labels say so;
+null labels and labels of null ids are ignored.
 """
 
 from __future__ import annotations
@@ -193,21 +194,25 @@ def lexicon_of(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
     """The lexicon of the fit fold of at most ``max_labelled`` labels ``(id, bad)``."""
     some = labels.orderBy(F.xxhash64("id", "bad"), "id", "bad").limit(max_labelled)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(some), "id").where(fold("id") == 0)   # at most max_labelled ids
+    rows = rows.join(F.broadcast(some), "id").where(fold(F.xxhash64("text")) == 0)   # at most max_labelled ids
     return learn_lexicon(base_counts(rows, F.col("text")).where(~base_failed()).select("_low", "bad"))
 
 
-def fold(id_col: str) -> Column:
-    return F.crc32(F.col(id_col).cast("string")) % 2
+def fold(text_hash: Column) -> Column:
+    return F.crc32(text_hash.cast("string")) % 2
 
 
 def learn(scored: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
-    """The certified cutoffs.  ``scored`` is ``(id, stratum, <rule>...,
-    base_failed)`` of all documents, ``labels`` is ``(id, bad)``: all that
-    name a document count."""
-    times = labels.groupBy("id", "bad").agg(F.count("*").alias("w"))
-    rows = cut(scored.where("id IS NOT NULL AND NOT base_failed").join(times, "id")
-               .select("stratum", "bad", "w", *RULES, fold("id").alias("fold")))
+    """The certified cutoffs.  ``scored`` is ``(id, text_hash, stratum,
+    <rule>..., base_failed)`` of all documents, ``labels`` is ``(id, bad)``.  A
+    distinct text of a stratum is one trial, in one fold: copies are no new
+    evidence.  It is a bad one if all labels of its copies say so."""
+    told = labels.groupBy("id").agg(F.min("bad").alias("bad"))
+    rows = cut(scored.where("id IS NOT NULL AND NOT base_failed").join(told, "id")
+               .groupBy("text_hash", "stratum")
+               .agg(F.min("bad").alias("bad"), *[F.min(r).alias(r) for r in RULES])
+               .select("stratum", "bad", F.lit(1).cast("long").alias("w"), *RULES,
+                       fold(F.col("text_hash")).alias("fold")))
     cutoffs = choose_cutoffs(rows.where("fold = 0"))
     return cut(certify(cutoffs, rows.where("fold = 1"), alpha, delta))
 
@@ -226,17 +231,17 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float
     lexicon = lexicon_of(docs, labels, max_labelled, id_col, text_col)
     keep = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(id_col).alias("id"),
-                       F.col(stratum).alias("s"), F.col(text_col).alias("_t"))
+                       F.col(stratum).alias("s"), F.col(text_col).alias("_t"), F.xxhash64(text_col).alias("text_hash"))
     scored = with_scores(base_counts(rows, F.col("_t")).drop("_t"), lexicon).withColumn(
         "base_failed", base_failed())
     if text_col not in keep:
         scored = cut(scored)
-    certified = learn(scored.select("id", F.col("s").alias("stratum"), "base_failed", *RULES),
+    certified = learn(scored.select("id", "text_hash", F.col("s").alias("stratum"), "base_failed", *RULES),
                       labels, alpha, delta)
     verdict = F.coalesce(rejects("cut", F.col("relax")), F.lit(False))
     return (scored.join(small(certified), F.col("s").eqNullSafe(F.col("stratum")), "left")
             .withColumn("kept", ~F.col("base_failed") & ~verdict)
-            .drop("id", "s", "stratum", "cut", "relax"))
+            .drop("id", "s", "text_hash", "stratum", "cut", "relax"))
 
 
 def bad_labels(labels: DataFrame) -> DataFrame:

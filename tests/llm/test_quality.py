@@ -88,3 +88,15 @@ def test_without_labels_only_the_base_rule(spark, docs, no_docs):
     assert all(r.kept == (not r.base_failed) for r in rows)
     assert all(r.base_failed for r in rows if not (r.text or "").strip())
     assert Q.judge(no_docs, labels).collect() == []
+
+
+def test_copies_are_no_new_evidence(labelled):
+    """Too few distinct texts to certify anything, whatever their copies."""
+    docs, labels = labelled
+    few = docs.where("doc_id < 300")
+    for times in (1, 10):
+        copies = few.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_i")
+        told = labels.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_i")
+        judged = Q.judge(copies, Q.bad_labels(told))
+        assert judged.where("kept <> NOT base_failed").count() == 0
+        assert judged.count() == times * few.count()
