@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from orderloom.operators.fold import fold_latest, purge_tombstones, tombstones
 from orderloom.plans import history, incremental
 from orderloom.plans.replay import replay_incremental
+from orderloom.plans import store as S
 from orderloom.plans.store import Store
+from orderloom.schemas import KEY_BUCKET_DIVISOR
 from orderloom.sources.files import changed_files, read_ledger, record_files, rewritten_files
+from tests.helpers import d, raw
 from tests.scenarios import drop_scenario
 
 
@@ -83,7 +86,6 @@ def test_metadata(store):
 
 
 def test_many_runs_are_read_by_range(store, monkeypatch):
-    from orderloom.plans import store as S
     runs = store.done_runs()
     some = [r for r in runs if r != runs[2]]
     few = [sorted(map(str, store.read("headers", runs=x).collect())) for x in (None, some)]
@@ -124,6 +126,179 @@ def test_purge_tombstones(store):
     assert fold_latest(store.read("versions")).count() == incremental.latest(store).count()
 
 
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def _orders(run, ids, deleted=False, day=1):
+    """Bronze records of a run that touch the given orders."""
+    return [(f"H{i}", d(day), "" if deleted else f"C{run}", f"Name {run}", d(day, run % 24), run) for i in ids]
+
+
+def _records(spark, run, ids, deleted=False, day=1):
+    lines = [(f"H{i}", "L1", d(day), "P", 2.0, d(day, run % 24), run) for i in ids if not deleted]
+    return [x.withColumn("source_file", F.lit("f")) for x in raw(spark, _orders(run, ids, deleted, day), lines)]
+
+
+def _process(store, run, ids, deleted=False, day=1, **kw):
+    return incremental.process_run(store, run, *_records(store.spark, run, ids, deleted, day), **kw)
+
+
+def test_compaction_writes_touched_shards_only(spark, tmp_path):
+    # 64 partitions of key buckets, and 64 hash shards of the latest table
+    step = KEY_BUCKET_DIVISOR * incremental.STATE_PART_BUCKETS
+    s = Store(spark, str(tmp_path / "st"))
+    _process(s, 1, [step * p + 1 for p in range(64)], compact_every=None)
+    first = incremental.compact(s, 1)
+    assert first["header_state"] == first["line_state"] == list(range(64))
+    before, seen = incremental.latest(s, upto=1), s.base("header_state")[1]
+    then = _rows(seen)
+    _process(s, 2, [step * 7 + 1, step * 7 + 2], day=2, compact_every=None)
+    # a reader during the swap: the base is the old one until the pointer is there
+    put, during = s.put_pointer, []
+
+    def slow(rel, obj):
+        during.append((rel.split("/")[0], s.base(rel.split("/")[0])[0]))
+        put(rel, obj)
+    s.put_pointer = slow
+    wrote = incremental.compact(s, 2)
+    assert wrote["header_state"] == wrote["line_state"] == [7]
+    assert len(wrote["latest"]) <= 2
+    assert during == [("latest", 1), ("header_state", 1), ("line_state", 1)]
+    # one that opened the old base still reads it, and the new one is whole
+    assert _rows(seen) == then and before.count() == 64
+    assert s.base("header_state")[0] == 2 and s.base("header_state")[1].count() == 65
+    assert incremental.compact(s, 2) == {}
+    assert incremental.latest(s).count() == 65 and incremental.latest(s, upto=1).count() == 64
+    only = s.base("header_state", parts=[7, 9])[1]
+    assert {r.kb_part for r in only.collect()} == {7, 9}
+    assert s.base("header_state", parts=[])[1].count() == 0
+    assert s.clean_bases("header_state", keep=1) == 0      # the first write still holds 63 shards
+    assert s.base("header_state", at_most=1)[1] is None and s.base("header_state")[1].count() == 65
+
+
+def test_compacted_store_equals_uncompacted(spark, sf_small, tmp_path, store):
+    plain = replay_incremental(spark, sf_small, str(tmp_path / "st"), compact_every=None)
+    assert _rows(plain.read("versions")) == _rows(store.read("versions"))
+    assert _rows(incremental.latest(plain)) == _rows(incremental.latest(store))
+    assert len(store.bases("latest")) > 1
+
+
+def test_late_row_does_not_revive_a_purged_delete(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "st"))
+    _process(s, 1, [1, 2, 3], day=3, compact_every=None)
+    _process(s, 2, [1, 2], deleted=True, day=4, compact_every=None)
+    _process(s, 3, [3], day=9, compact_every=None)
+    incremental.compact(s, 3, tombstone_retention_s=3600)
+    state = {r.order_id: r for r in incremental.latest_state(s).collect()}
+    gone = next(r for k, r in state.items() if k.endswith("H1"))
+    assert gone.is_order_deleted and gone.cust is None and gone.lines is None and gone.occurred is None
+    assert gone.seq.run_id == 2 and gone.key_bucket is not None
+    assert incremental.latest(s).count() == 1
+    # an older version of a purged delete turns up
+    late = incremental.latest_state(s, upto=1).where(F.col("order_id").endswith("H1"))
+    assert late.count() == 1
+    both = incremental.latest_state(s).unionByName(late)
+    assert fold_latest(both).count() == 1
+    # kept whole within the retention time
+    s2 = Store(spark, str(tmp_path / "st"))
+    s2.forget_bases(1)
+    incremental.compact(s2, 3, tombstone_retention_s=30 * 86400)
+    assert all(r.occurred is not None for r in incremental.latest_state(s2).collect())
+
+
+def test_many_closed_runs_are_few_files(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "st"))
+    rows = spark.range(200).select((F.col("id") % 7).alias("key_bucket"),
+                                   F.format_string("O%05d", F.col("id") * 17 % 200).alias("order_id"))
+    runs = list(range(1, 71))
+    for r in runs:
+        s.write_run("touched_keys", rows.where((F.col("id") + r) % 3 != 0).coalesce(1), r)
+        s.mark(r, r, "done")
+        if r == 40:
+            assert s.close_runs("touched_keys") == 1
+    plain = _rows(s._read_partitions("touched_keys", spark.read.schema(S.TABLE_SCHEMAS["touched_keys"]),
+                                     S.TABLE_SCHEMAS["touched_keys"], runs))
+    assert len(s.read("touched_keys").inputFiles()) == 31
+    assert s.close_runs("touched_keys") == 1 and s.close_runs("touched_keys") == 0
+    assert len(s.read("touched_keys").inputFiles()) == 1
+    assert _rows(s.read("touched_keys")) == plain
+    some = [r for r in runs if r % 5]
+    assert _rows(s.read("touched_keys", runs=some)) == [r for r in plain if int(r.split("run_id=")[1][:-1]) % 5]
+    assert len(s.read("touched_keys", runs=[3]).inputFiles()) == 1
+    assert len(s.read("touched_keys", after=60, upto=62).inputFiles()) == 2
+    # a closed run that is written again is read from its partition
+    s.write_run("touched_keys", rows.limit(1), 5)
+    again = s.read("touched_keys")
+    assert again.where("run_id = 5").count() == 1 and len(again.inputFiles()) == 2
+    assert s.unclosed_runs("touched_keys") == [5]
+    # an open run ends what may be closed
+    s.mark(71, 71, "started")
+    s.mark(72, 72, "done")
+    assert s.unclosed_runs("touched_keys") == [5]
+
+
+def _scanned(df):
+    """Rows that the scans of a finished plan gave out: those of the row
+    groups that statistics and filters did not skip."""
+    df.collect()
+
+    def walk(p):
+        if p.getClass().getSimpleName().startswith("AdaptiveSparkPlan"):
+            return walk(p.executedPlan())
+        if p.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(p.plan())
+        own = 0
+        if p.nodeName().startswith("Scan parquet"):
+            own = p.metrics().get("numOutputRows").get().value()
+        kids = p.children()
+        return own + sum(walk(kids.apply(i)) for i in range(kids.size()))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_few_orders_read_few_row_groups(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "st"))
+    n = 20_000
+    rows = spark.range(n).select(F.lit(0).cast("bigint").alias("key_bucket"),
+                                 F.format_string("O%05d", F.col("id") * 7919 % n).alias("order_id"))
+    for r in (1, 2):
+        s.write_run("touched_keys", rows.repartition(3), r)
+        s.mark(r, r, "done")
+    assert s.close_runs("touched_keys", target_bytes=4000) > 20
+    table = s.read("touched_keys")
+    one = table.where(incremental.among(["O00777"]))
+    assert one.count() == 2 and _scanned(one) < table.count() / 10
+    keys = table.where("run_id = 1 AND order_id >= 'O00500' AND order_id < 'O00600'").drop("run_id")
+    assert keys.count() == 100
+    near = incremental._semi(table, spark.createDataFrame(keys.collect(), keys.schema), 100)
+    assert near.count() == 200 and _scanned(near) < table.count() / 10
+    # more orders than are pushed: the same rows
+    assert _rows(incremental._semi(table, keys, 10_000)) == _rows(near)
+
+
+def test_a_run_has_one_runner(spark, tmp_path):
+    root = str(tmp_path / "st")
+    one, two = Store(spark, root), Store(spark, root)
+    one.mark(1, 1, "started")
+    assert one.claim(1) == 1
+    assert two.claim(1) == 2              # the second takes the run over
+    h, l = _records(spark, 1, [1, 2])
+    with pytest.raises(S.RunTaken):       # the first stops before it writes
+        incremental.stage_bronze(one, 1, h, l)
+    with pytest.raises(S.RunTaken):
+        one.mark(1, 1, "done")
+    incremental.stage_bronze(two, 1, h, l)
+    incremental.finish_run(two, 1, compact_every=None)
+    assert Store(spark, root).done_runs() == [1] and incremental.latest(two).count() == 2
+    # two at the same moment: one of them is told
+    three, four = Store(spark, root), Store(spark, root)
+    listed = four.list_files(four.path("_claims"))
+    three.claim(1)
+    four.list_files = lambda p: listed
+    with pytest.raises(S.RunTaken):
+        four.claim(1)
+
+
 def test_records_as_json(spark, tmp_path):
     root = str(tmp_path)
     for r in (1, 2, 3):
