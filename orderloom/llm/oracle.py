@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderloom.llm.license_scan import TEMPLATES, template_rows
+from orderloom.llm.license_scan import TEMPLATES, THRESHOLD, anchors, template_rows, window_templates
 from orderloom.llm.url_reputation import SUFFIXES
 
 OP8 = r"""
@@ -65,6 +65,9 @@ def _list(values: list[str]) -> str:
 TEMPLATE_VALUES = ", ".join(f"({i}, '{name}', {_list(grams)})" for i, (name, grams)
                             in enumerate(template_rows(TEMPLATES)))
 
+WINDOW_ROWS = window_templates(TEMPLATES)
+WINDOW_VALUES = ", ".join(f"({i}, '{name}', {_list(grams)})" for i, (name, grams) in enumerate(WINDOW_ROWS))
+
 OP7 = rf"""
 WITH t(ord, license, tb) AS (VALUES {TEMPLATE_VALUES}),
 d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS txt,
@@ -82,9 +85,24 @@ best AS (SELECT r, line_no, license FROM m WHERE dice >= 0.8
 g AS (SELECT r, count(*) AS n,
              array_to_string(list_sort(list_distinct(list(license))), ',') AS licenses,
              string_agg(license || ':' || line_no, ',' ORDER BY CASE line_no WHEN -1 THEN 1e18 ELSE line_no END)
-             AS matches FROM best GROUP BY r)
+             AS matches FROM best GROUP BY r),
+x AS (SELECT r, string_split(trim(regexp_replace(lower(txt), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS ws FROM d),
+y AS (SELECT r, [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))] AS gs FROM x WHERE len(ws) > 1),
+z AS (SELECT r, generate_subscripts(gs, 1) AS i, unnest(gs) AS bg FROM y),
+k AS (SELECT unnest({_list(anchors(WINDOW_ROWS, THRESHOLD))}) AS bg),
+v(ord, license, tg) AS (VALUES {WINDOW_VALUES}),
+c AS (SELECT z.r, z.i, v.ord, v.license, list_distinct(v.tg) AS tb, len(v.tg) AS m,
+             greatest(1, z.i - list_position(v.tg, z.bg) + 1) AS s
+      FROM z SEMI JOIN k USING (bg) JOIN v ON list_contains(v.tg, z.bg)),
+e AS (SELECT r, i, ord, license, s, tb, list_distinct(gs[s:s + m - 1]) AS wb FROM c JOIN y USING (r)),
+f AS (SELECT DISTINCT r, s, license FROM (
+        SELECT *, 2.0 * len(list_intersect(wb, tb)) / (len(wb) + len(tb)) AS dice FROM e
+        QUALIFY row_number() OVER (PARTITION BY r, i ORDER BY dice DESC, ord) = 1) WHERE dice >= 0.8),
+h AS (SELECT r, count(*) AS n_windows, string_agg(license || ':' || s, ',' ORDER BY s, license) AS windows
+      FROM f GROUP BY r)
 SELECT doc_id, len(ls) AS n_lines, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses,
-       coalesce(matches, '') AS matches FROM d LEFT JOIN g USING (r)
+       coalesce(matches, '') AS matches, coalesce(n_windows, 0) AS n_windows, coalesce(windows, '') AS windows
+FROM d LEFT JOIN g USING (r) LEFT JOIN h USING (r)
 """
 
 OP11 = """

@@ -77,7 +77,9 @@ def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     places = F.transform(m, lambda x: F.concat_ws(":", x["license"], x["line_no"].cast("string")))
     return license_scan.scan_licenses(table(spark, sf, "documents")).select(
         "doc_id", "n_lines", F.size(m).cast("long").alias("n_matches"),
-        F.array_join(names, ",").alias("licenses"), F.array_join(places, ",").alias("matches"))
+        F.array_join(names, ",").alias("licenses"), F.array_join(places, ",").alias("matches"),
+        F.size("windows").cast("long").alias("n_windows"), F.array_join(F.transform(
+            "windows", lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"))), ",").alias("windows"))
 
 
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:

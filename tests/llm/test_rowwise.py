@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from orderloom.llm import langid, license_scan, secret_scan, token_counts, url_reputation
+from orderloom.llm.license_texts import FULL_TEXTS
 from orderloom.llm.queries import URL_RULES, vocabulary
 
 MODEL = vocabulary("piece_bpe_32k.model")
@@ -111,6 +112,42 @@ def test_licence_matches(spark, docs, no_docs):
     assert license_scan.scan_licenses(no_docs).collect() == []
 
 
+def test_licence_windows(spark):
+    mit = FULL_TEXTS["MIT"][0].split()
+    wrapped = "\n".join(" * " + " ".join(mit[i:i + 9]) for i in range(0, len(mit), 9))
+    apache = license_scan.TEMPLATES["Apache-2.0"][1].split()
+    prose = "Some invented prose stands here and goes on for a while without any notice. "
+    inline = prose + "Our code was, by the way, released under the MIT License. " + prose * 3
+    gpl = license_scan.TEMPLATES["GPL-2.0"][0]
+    bsd2, bsd3 = FULL_TEXTS["BSD-2-Clause"][0], FULL_TEXTS["BSD-3-Clause"][0]
+    edited = prose + " ".join(w for i, w in enumerate(mit) if i % 29 != 28)      # words left out
+    texts = [prose * 5 + "\n" + wrapped + "\n" + prose, inline, prose + "\n".join(apache) + "\n" + prose,
+             gpl, bsd2, bsd3, edited, prose * 40, "license " * 500 + "software permission granted", None, "",
+             (prose * 20 + inline) * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    df = df.withColumns({c: F.lit("x") for c in ("units", "windows", "_words", "_grams", "matches", "n_lines")})
+    rows = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+    names = {i: {w.license for w in r.windows} for i, r in rows.items()}
+    assert names == {0: {"MIT"}, 1: {"MIT"}, 2: {"Apache-2.0"}, 3: {"GPL-2.0"}, 4: {"BSD-2-Clause"},
+                     5: {"BSD-3-Clause"}, 6: {"MIT"}, 7: set(), 8: set(), 9: set(), 10: set(), 11: {"MIT"}}
+    at = rows[1].windows[0].start - 1
+    assert license_scan.normalised_words(inline)[at:at + 5] == "released under the mit license".split()
+    assert any(w.dice == 1 and w.start == 71 for w in rows[0].windows)
+    assert len({w.start for w in rows[11].windows}) == 30
+    twice = license_scan.scan_licenses(df.union(df)).collect()
+    assert sorted(map(str, twice)) == sorted(2 * [str(r) for r in rows.values()])
+
+
+def test_licence_anchors_are_enough():
+    rows = license_scan.window_templates(license_scan.TEMPLATES)
+    known = set(license_scan.anchors(rows, 0.8))
+    for _, grams in rows:
+        own = set(grams)
+        # a window without an anchor shares at most the others, and is at least that long
+        left = len(own - known)
+        assert 2 * left / (left + len(own)) < 0.8
+
+
 URLS = ["http://A.Example.NET/en/x?q#f", "https://example.net/fr/", "ftp://net", "http://x.example.com/de/1",
         "http://www.org/fr/a", "http://notnet/", "nothing", None, "http://u.org?x://y/z", "http://example.net/en"]
 
