@@ -112,13 +112,18 @@ def window_templates(templates: dict[str, list[str]]) -> list[tuple[str, list[st
     return [(name, grams) for name, grams in out if grams]
 
 
+def mark(gram: str) -> str:
+    """The word by which a bigram is looked for first: its longer one."""
+    return max(gram.split(), key=lambda w: (len(w), w))
+
+
 def anchors(rows: list[tuple[str, list[str]]], threshold: float) -> list[str]:
     """Bigrams of which a window that reaches ``threshold`` against any
     template holds at least one."""
     common = Counter(g for _, grams in rows for g in set(grams))
     out = set()
     for _, grams in rows:
-        own = sorted(set(grams), key=lambda g: (common[g], -len(g), g))
+        own = sorted(set(grams), key=lambda g: (common[g], -len(mark(g)), g))
         shared = math.ceil(threshold / (2 - threshold) * len(own) - 1e-9)
         out.update(own[:len(own) - shared + 1])
     return sorted(out)
@@ -129,7 +134,7 @@ def with_windows(df: DataFrame, words: str, templates: dict[str, list[str]], thr
     of the word array ``words``, by start (the first word is 1)."""
     rows = window_templates(templates)
     known = anchors(rows, threshold)
-    marks = F.array(*map(F.lit, sorted({w for g in known for w in g.split()})))
+    marks = F.array(*map(F.lit, sorted({mark(g) for g in known})))
     size = F.size(words)
     none = F.array().cast("array<string>")
     grams = F.when((size > 1) & F.arrays_overlap(words, marks), F.transform(
