@@ -257,6 +257,8 @@ FROM T GROUP BY run_id""",
         "headerless_orders": full + f"""
 SELECT {_VCOLS} FROM FOLD WHERE NOT coalesce(is_order_deleted, false) AND is_order_deleted IS NULL""",
         "incremental_versions": full + f"\nSELECT {_VCOLS} FROM V",
+        "purged_deletes": full + """
+SELECT key_bucket, order_id, seq_string FROM FOLD WHERE coalesce(is_order_deleted, false)""",
         "incremental_versions_strict": _full("strict") + f"\nSELECT {_VCOLS} FROM V",
         "evolved_headers": _with(_BASE, _NEW) + """
 SELECT run_id, key_bucket, hid, hdate, hcust, hcustname, received,

@@ -220,6 +220,15 @@ def q_incremental_latest(spark, sf):
     return flat(incremental.latest(store))
 
 
+def q_purged_deletes(spark, sf):
+    """Deletes that the store holds after compactions with a retention time of
+    900 seconds, past which a delete is key and sequence only."""
+    from orderloom.plans import incremental
+    from orderloom.plans.replay import replay_incremental
+    store = replay_incremental(spark, sf, _scratch(spark, "incremental"))
+    return flat(fold.tombstones(incremental.latest_state(store))).select("key_bucket", "order_id", "seq_string")
+
+
 def q_incremental_versions_strict(spark, sf):
     """Strict versions written run by run, from compacted strict line states."""
     from orderloom.plans.replay import replay_incremental
@@ -303,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "line_counts_by_state": q_line_counts_by_state,
     "incremental_versions": q_incremental_versions,
     "incremental_latest": q_incremental_latest,
+    "purged_deletes": q_purged_deletes,
     "incremental_versions_strict": q_incremental_versions_strict,
     "evolved_headers": q_evolved_headers,
     "schema_versions": q_schema_versions,
