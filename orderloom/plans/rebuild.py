@@ -13,6 +13,9 @@ maximum, hence associative), so
 3. each touched (order, run) is joined to the line states valid at that run
    (equi-join on the order + range condition on the run) and assembled.
 
+The versions of all but hot orders need no join: both feeds meet in one shuffle
+by the order, and step 3 goes through the order's states (``_versions_gathered``).
+
 The work grows with the states and the versions it emits, not with history
 times runs.  A hot order's lines are spread by (order, line) in steps 1-2,
 and in step 3 its states are salted by line over several tasks (its touched
@@ -24,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.operators.assemble import assemble_versions
+from orderloom.operators.assemble import assemble_versions, versions_of_gathered
 from orderloom.operators.latest import (KEY, LINE_KEY, LINE_LATEST_COLS,
                                         argmax_line_struct, header_partials,
                                         header_state)
@@ -264,9 +267,84 @@ def versions_all(headers: DataFrame, lines: DataFrame, mode: str = "argmax",
                  hot_order_states: int | None = HOT_ORDER_STATES) -> DataFrame:
     """Every version of every touched order (the version history), one job.
 
-    ``cut_lineage`` checkpoints the header and line states (written to
-    ``spark.checkpoint.dir``) before the assembly join: on a large cluster a
-    lost executor then costs the join stage, not the scans and windows."""
+    Both feeds are shuffled once, by the order, and an order's states are
+    gathered there; its versions are then made row by row.  Hot orders (found
+    on a 1% sample of the lines, which only routes) take ``_versions_joined``.
+
+    ``cut_lineage`` checkpoints the states (written to
+    ``spark.checkpoint.dir``) before the assembly: on a large cluster a
+    lost executor then costs the assembly stage, not the scans and windows."""
+    hot = None if hot_order_states is None else hot_keys(lines, ["order_id"], hot_order_states)
+    if hot is None:
+        return _versions_gathered(headers, lines, mode, cut_lineage)
+    h, l = [(df.join(hot, "order_id", "left_semi"), df.join(hot, "order_id", "left_anti"))
+            for df in (headers, lines)]
+    return (_versions_joined(h[0], l[0], mode, cut_lineage, hot_order_states)
+            .unionByName(_versions_gathered(h[1], l[1], mode, cut_lineage)))
+
+
+def _versions_gathered(headers: DataFrame, lines: DataFrame, mode: str, cut_lineage: bool) -> DataFrame:
+    """``versions_all`` of orders that each fit a task: header and line rows in
+    one shuffle by the order, line states by windows in it, one row an order
+    that holds its states, and one version for each run that touched it.  The
+    work is that of the states and, for each version, a pass over the states
+    of its order."""
+    if mode not in ("argmax", "strict"):
+        raise ValueError(f"unknown line mode {mode!r}")
+    hp = (headers.select(*KEY, *header_partials(headers)).groupBy(*KEY)
+          .agg(*[F.max(c).alias(c) for c in ("_hd", "_hr", "_hc")]))
+    hp = hp.select(*ORDER_KEY, "run_id", F.struct("run_id", "_hd", "_hr", "_hc").alias("_h"),
+                   F.lit(True).alias("_is_header"))
+    rows = lines.select(*LINE_KEY, "run_id", argmax_line_struct().alias("_w"),
+                        F.lit(False).alias("_is_header"))
+    both = rows.unionByName(hp, allowMissingColumns=True).repartition(*ORDER_KEY)
+    part = [*LINE_KEY, "_is_header"]
+    by_run = Window.partitionBy(*part).orderBy("run_id")
+    keys = [*part, "run_id", "_h"]
+    # The last row of its run; a row without a run touches the order too.
+    last = F.col("_next").isNull() | ~F.col("_next").eqNullSafe(F.col("run_id"))
+    if mode == "argmax":
+        w = Window.partitionBy(*part).orderBy("run_id", "_w")
+        x = both.select(*keys, F.max("_w").over(w.rowsBetween(_UNB, _CUR)).alias("_w"),
+                        F.lead("run_id").over(w).alias("_next"))
+        x = x.where(F.col("_is_header") | last)
+        x = x.select(*keys, "_w", F.lit(True).alias("won"), F.lead("run_id").over(by_run).alias("valid_to"))
+    else:
+        # A row that misses a maximum stays only to tell that its run touched the order.
+        so_far = by_run.rangeBetween(_UNB, _CUR)
+        later = Window.partitionBy(*part).orderBy(F.desc("run_id")).rangeBetween(_UNB, -1)
+        won = ((F.col("_w.occurred") == F.max("_w.occurred").over(so_far))
+               & (F.col("_w.received") == F.max("_w.received").over(so_far)) & F.col("line_id").isNotNull())
+        x = both.select(*keys, "_w", F.coalesce(won, F.lit(False)).alias("won"),
+                        F.lead("run_id").over(by_run).alias("_next"))
+        x = x.where(F.col("_is_header") | F.col("won") | last)
+        x = x.select(*keys, "_w", "won", F.min("run_id").over(later).alias("valid_to"))
+    state = F.struct("line_id", "_w.is_line_deleted", F.col("_w.occurred").alias("l_occurred"),
+                     F.col("_w.received").alias("l_received"), "_w.line_run_id", "_w.prod", "_w.amt",
+                     F.col("run_id").alias("valid_from"), "valid_to", "won")
+    orders = x.groupBy(*ORDER_KEY).agg(
+        F.collect_list(F.when(~F.col("_is_header"), state)).alias("_states"),
+        F.collect_list("_h").alias("_headers"))
+    if cut_lineage:
+        orders = _cut(orders)
+    runs = F.array_distinct(F.concat("_states.valid_from", "_headers.run_id"))
+    run = F.col("run_id")
+    current = F.filter("_states", lambda x: x["won"] & (x["valid_from"] <= run)
+                       & (x["valid_to"].isNull() | (run < x["valid_to"])))
+    before = F.filter("_headers", lambda h: h["run_id"].isNull() | (h["run_id"] <= run))
+    v = orders.select(*ORDER_KEY, "_states", "_headers", F.explode(runs).alias("run_id")).select(
+        *KEY, current.alias("_cur"), before.alias("_before"))
+    top = [F.array_max(f"_before.{c}").alias(c) for c in ("_hd", "_hr", "_hc")]
+    v = v.select(*KEY, "_cur", *top)
+    deleted, occurred, received, cust = header_state(F.col("_hd"), F.col("_hr"), F.col("_hc"))
+    return versions_of_gathered(v.select(*KEY, "_cur", deleted, occurred.alias("h_occurred"),
+                                         received.alias("h_received"), cust), mode == "strict")
+
+
+def _versions_joined(headers: DataFrame, lines: DataFrame, mode: str, cut_lineage: bool,
+                     hot_order_states: int | None) -> DataFrame:
+    """``versions_all`` with the line states joined to the touched keys, hot
+    orders salted by line."""
     th = header_states(headers, lines).select(
         *KEY, "is_order_deleted", F.col("occurred").alias("h_occurred"),
         F.col("received").alias("h_received"), "cust")
