@@ -4,6 +4,7 @@ join of line states with touched keys, without that join."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.plans.queries import flat
 from orderloom.plans.rebuild import _versions_joined, versions_all
@@ -36,3 +37,35 @@ def test_gathered_versions(spark, mode):
     assert sorted(map(str, df.collect())) == sorted(map(str, joined.collect()))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+@pytest.mark.parametrize("mode", ["argmax", "strict"])
+def test_incremental_many_keys_shuffles_each_side_once(spark, tmp_path, monkeypatch, mode):
+    """Too many touched orders to broadcast: headers, lines and keys are each
+    dealt out by the order once for a join, and the versions are the rebuild's."""
+    from orderloom.plans import incremental
+    from orderloom.plans.store import Store
+    from tests.helpers import raw
+    monkeypatch.setattr(incremental, "BROADCAST_KEYS_MAX_ROWS", 0)
+    monkeypatch.setattr(incremental, "PUSHED_KEYS_MAX", 0, raising=False)
+    headers, lines = [[r for r in rows if r[-1] is not None] for rows in _feed()]
+    store, plans, write = Store(spark, str(tmp_path / "st")), [], Store.write_run
+
+    def seen(self, name, df, *args, **kw):
+        if name == "versions":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, name, df, *args, **kw)
+    monkeypatch.setattr(Store, "write_run", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for run in (1, 2, 3, 4):
+            h, l = [[r for r in rows if r[-1] == run] for rows in (headers, lines)]
+            feeds = [df.withColumn("source_file", F.lit("f")) for df in raw(spark, h, l)]
+            incremental.process_run(store, run, *feeds, mode=mode, compact_every=2)
+        got = flat(store.read("versions"))
+        want = flat(versions_all(*ingested(spark, headers, lines), mode)).select(*got.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert max(p.count("Exchange hashpartitioning") for p in plans) <= 5
