@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.sources.feeds import scan_glob
 
@@ -40,12 +41,24 @@ def lines_summary(latest_df: DataFrame) -> DataFrame:
 def records_as_json(spark, pattern: str) -> DataFrame:
     """Every ingested file's records as JSON text, with the feed and the run
     number that the path names (``.../SOH_<run>/...`` or ``.../SOH_<run>.json``),
-    ordered by run number, then file."""
-    df = scan_glob(spark, pattern)
-    data_cols = [c for c in df.columns if c not in ("source_file", "file_mtime")]
+    ordered by run number, then file.
+
+    The global sort runs its input twice (once to find the ranges), so it sorts
+    the lines as they are, and each is parsed once, after it."""
+    schema = T.StructType([f for f in scan_glob(spark, pattern).schema
+                           if f.name not in ("source_file", "file_mtime")])
     named = r"(SO[HL])_([0-9]+)(?:\.json|/[^/]+)$"
-    return (df.select(F.col("source_file").alias("file_name"),
-                      F.regexp_extract("source_file", named, 1).alias("feed"),
-                      F.expr(f"try_cast(regexp_extract(source_file, r'{named}', 2) AS bigint)").alias("run_id"),
-                      F.to_json(F.struct(*data_cols)).alias("json_string"))
-            .orderBy("run_id", "file_name"))
+    tail = F.substring_index("file_name", "/", -2)      # what ``named`` can match
+    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("file_name"))
+    lines = (lines.where(F.btrim("value", F.lit(" \t\r")) != "")
+             .select("file_name", F.regexp_extract(tail, named, 2).try_cast("bigint").alias("run_id"), "value")
+             .orderBy("run_id", "file_name"))
+    # The mode is the default one; naming it keeps Spark from passing the text on unparsed.
+    mode = {"mode": "PERMISSIVE"}
+    one = F.array(F.from_json("value", schema, mode))
+    # A line that is an array holds a record in each element.
+    many = F.coalesce(F.from_json("value", T.ArrayType(schema), mode), one)
+    records = F.when(F.ltrim("value").startswith("["), many).otherwise(one)
+    feed = F.regexp_extract(tail, named, 1).alias("feed")
+    return (lines.select("file_name", feed, "run_id", F.explode(records).alias("record"))
+            .select("file_name", "feed", "run_id", F.to_json("record").alias("json_string")))

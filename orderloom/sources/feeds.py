@@ -107,6 +107,12 @@ def _days(ts: Column, n: Column) -> Column:
     return F.timestamp_add("DAY", n, ts)
 
 
+def _file_of(feed: str) -> Column:
+    """The file of a replayed record, named by its run."""
+    run = F.coalesce(F.col("run_id").cast("string"), F.lit("null"))
+    return F.concat(F.lit(f"replay/{feed}_"), run, F.lit(".json"))
+
+
 def replay_feed(spark: SparkSession, sf_dir: str, run_base_year: int = 1994
                 ) -> tuple[DataFrame, DataFrame]:
     """Both change feeds derived from the base tables at any scale.
@@ -161,7 +167,7 @@ def replay_feed(spark: SparkSession, sf_dir: str, run_base_year: int = 1994
                .join(customer, F.col("o_custkey") == F.col("c_custkey"))
                .select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
                .withColumn("run_id", (F.year("received") - run_base_year).cast("bigint"))
-               .withColumn("source_file", F.format_string("replay/SOH_%d.json", F.col("run_id"))))
+               .withColumn("source_file", _file_of("SOH")))
 
     q, order, number = F.col("l_quantity"), F.col("l_orderkey"), F.col("l_linenumber")
     hid = F.concat(F.lit("O"), order.cast("string"))
@@ -182,7 +188,7 @@ def replay_feed(spark: SparkSession, sf_dir: str, run_base_year: int = 1994
         amt.alias("amt"),
         _days(F.col("l_shipdate"), F.col("l_suppkey") % 97).alias("received"))
         .withColumn("run_id", (F.year("received") - run_base_year).cast("bigint"))
-        .withColumn("source_file", F.format_string("replay/SOL_%d.json", F.col("run_id"))))
+        .withColumn("source_file", _file_of("SOL")))
     return headers, lines
 
 

@@ -313,6 +313,21 @@ def test_records_as_json(spark, tmp_path):
     assert any("_corrupt_record" in r.json_string for r in rows)
 
 
+def test_records_as_json_parses_after_the_sort(spark, tmp_path):
+    """The sort, which runs its input twice, holds lines that are not parsed;
+    nulls, arrays of records, blank and malformed lines come out as read."""
+    (tmp_path / "SOH_2.json").write_text('[{"HID": "a", "X": 1}, {"HID": "b"}]\n \t\n{"HID": null, "X": 2.50}\n//\n')
+    (tmp_path / "SOL_1.json").write_text('{"LID":"l", "N": {"k": [1, null]}}\n[]\n')
+    df = history.records_as_json(spark, f"{tmp_path}/SO*")
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.index("to_json") < plan.index("Sort [")
+    rows = df.collect()
+    assert [(r.feed, r.run_id) for r in rows] == [("SOL", 1)] + [("SOH", 2)] * 4
+    read = spark.read.json(f"{tmp_path}/SO*")
+    whole = read.select(F.to_json(F.struct(*read.columns)).alias("j")).collect()
+    assert sorted(r.json_string for r in rows) == sorted(r.j for r in whole)
+
+
 def test_quality_log_matches_report(store):
     log = {(r.run_id, r.feed, r.expectation): (r.input_records, r.failed_records)
            for r in incremental.quality_log(store).collect()}
