@@ -24,10 +24,10 @@ keys repeated per salt); the assembly then merges the per-salt partials.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.operators.assemble import assemble_versions, versions_of_gathered
+from orderloom.operators.assemble import VERSION_COLS, assemble_versions, versions_of_states
 from orderloom.operators.latest import (KEY, LINE_KEY, LINE_LATEST_COLS,
                                         argmax_line_struct, header_partials,
                                         header_state)
@@ -141,9 +141,10 @@ def line_states(lines: DataFrame, mode: str = "argmax",
         w = Window.partitionBy(*LINE_KEY).orderBy("run_id", "_w")
         x = rows.select(*LINE_KEY, "run_id", F.max("_w").over(w.rowsBetween(_UNB, _CUR)).alias("_s"),
                         F.lead("run_id").over(w).alias("_next"))
+        # The row after the last one of a run is the first of the next.
         last = x.where(F.col("_next").isNull() | (F.col("_next") != F.col("run_id")))
         return last.select(*LINE_KEY, F.col("run_id").alias("valid_from"),
-                           F.lead("run_id").over(wl).alias("valid_to"), "_s.*")
+                           F.col("_next").alias("valid_to"), "_s.*")
     if mode == "maxima":
         # fixed-width maxima: a hash aggregate with map-side combine
         per = lines.groupBy(*LINE_KEY, "run_id").agg(
@@ -292,8 +293,9 @@ def _versions_gathered(headers: DataFrame, lines: DataFrame, mode: str, cut_line
     if mode not in ("argmax", "strict"):
         raise ValueError(f"unknown line mode {mode!r}")
     hp = (headers.select(*KEY, *header_partials(headers)).groupBy(*KEY)
-          .agg(*[F.max(c).alias(c) for c in ("_hd", "_hr", "_hc")]))
-    hp = hp.select(*ORDER_KEY, "run_id", F.struct("run_id", "_hd", "_hr", "_hc").alias("_h"),
+          .agg(*[F.max(c).alias(c) for c in ("_hd", "_hc")]))
+    # ``_hc`` begins with the fields of ``_hr``, so its maximum holds that one's.
+    hp = hp.select(*ORDER_KEY, "run_id", F.struct("run_id", "_hd", "_hc").alias("_h"),
                    F.lit(True).alias("_is_header"))
     rows = lines.select(*LINE_KEY, "run_id", argmax_line_struct().alias("_w"),
                         F.lit(False).alias("_is_header"))
@@ -307,8 +309,9 @@ def _versions_gathered(headers: DataFrame, lines: DataFrame, mode: str, cut_line
         w = Window.partitionBy(*part).orderBy("run_id", "_w")
         x = both.select(*keys, F.max("_w").over(w.rowsBetween(_UNB, _CUR)).alias("_w"),
                         F.lead("run_id").over(w).alias("_next"))
+        # The row after the last one of a run is the first of the next.
         x = x.where(F.col("_is_header") | last)
-        x = x.select(*keys, "_w", F.lit(True).alias("won"), F.lead("run_id").over(by_run).alias("valid_to"))
+        x = x.select(*keys, "_w", F.col("_next").alias("valid_to"))
     else:
         # A row that misses a maximum stays only to tell that its run touched the order.
         so_far = by_run.rangeBetween(_UNB, _CUR)
@@ -319,26 +322,35 @@ def _versions_gathered(headers: DataFrame, lines: DataFrame, mode: str, cut_line
                         F.lead("run_id").over(by_run).alias("_next"))
         x = x.where(F.col("_is_header") | F.col("won") | last)
         x = x.select(*keys, "_w", "won", F.min("run_id").over(later).alias("valid_to"))
+    won = ["won"] if mode == "strict" else []
     state = F.struct("line_id", "_w.is_line_deleted", F.col("_w.occurred").alias("l_occurred"),
                      F.col("_w.received").alias("l_received"), "_w.line_run_id", "_w.prod", "_w.amt",
-                     F.col("run_id").alias("valid_from"), "valid_to", "won")
+                     F.col("run_id").alias("valid_from"), "valid_to", *won)
     orders = x.groupBy(*ORDER_KEY).agg(
         F.collect_list(F.when(~F.col("_is_header"), state)).alias("_states"),
         F.collect_list("_h").alias("_headers"))
     if cut_lineage:
         orders = _cut(orders)
     runs = F.array_distinct(F.concat("_states.valid_from", "_headers.run_id"))
-    run = F.col("run_id")
-    current = F.filter("_states", lambda x: x["won"] & (x["valid_from"] <= run)
-                       & (x["valid_to"].isNull() | (run < x["valid_to"])))
-    before = F.filter("_headers", lambda h: h["run_id"].isNull() | (h["run_id"] <= run))
-    v = orders.select(*ORDER_KEY, "_states", "_headers", F.explode(runs).alias("run_id")).select(
-        *KEY, current.alias("_cur"), before.alias("_before"))
-    top = [F.array_max(f"_before.{c}").alias(c) for c in ("_hd", "_hr", "_hc")]
-    v = v.select(*KEY, "_cur", *top)
-    deleted, occurred, received, cust = header_state(F.col("_hd"), F.col("_hr"), F.col("_hc"))
-    return versions_of_gathered(v.select(*KEY, "_cur", deleted, occurred.alias("h_occurred"),
-                                         received.alias("h_received"), cust), mode == "strict")
+
+    def at(run: Column) -> Column:
+        def current(x: Column) -> Column:
+            held = (x["valid_from"] <= run) & (x["valid_to"].isNull() | (run < x["valid_to"]))
+            return x["won"] & held if won else held
+        return F.struct(run.alias("run_id"), F.filter("_states", current).alias("_cur"),
+                        F.filter("_headers", lambda h: h["run_id"].isNull() | (h["run_id"] <= run)).alias("_before"))
+
+    def header(x: Column) -> Column:
+        return F.struct(x["run_id"].alias("run_id"), x["_cur"].alias("_cur"),
+                        *[F.array_max(x["_before"][c]).alias(c) for c in ("_hd", "_hc")])
+
+    def touched(x: Column) -> Column:
+        deleted, occurred, received, cust = header_state(x["_hd"], x["_hc"], x["_hc"])
+        return F.struct(x["run_id"].alias("run_id"), deleted, occurred.alias("h_occurred"),
+                        received.alias("h_received"), cust, x["_cur"].alias("_cur"))
+    rows = F.transform(F.transform(F.transform(runs, at), header), touched)
+    return (orders.select(*ORDER_KEY, F.inline(versions_of_states(rows, mode == "strict")))
+            .select(*VERSION_COLS))
 
 
 def _versions_joined(headers: DataFrame, lines: DataFrame, mode: str, cut_lineage: bool,

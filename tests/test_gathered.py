@@ -69,3 +69,40 @@ def test_incremental_many_keys_shuffles_each_side_once(spark, tmp_path, monkeypa
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert max(p.count("Exchange hashpartitioning") for p in plans) <= 5
+
+
+def test_versions_are_made_in_one_step(spark):
+    """One window over the lines, and no chain of projections that would copy
+    an order's arrays into a row for each of its versions."""
+    h, l = ingested(spark, *_feed())
+    plan = versions_all(h, l)._jdf.queryExecution().executedPlan().toString()
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Window [") == 1
+    assert tree.count("inline(") == 1 and "explode(" not in tree
+
+
+def test_replayed_feeds_are_compiled(spark, tmp_path):
+    """The generators of the derived feeds hold no lambda, which would be
+    interpreted row by row; keys without values and repeated rows stay."""
+    from orderloom.sources.feeds import replay_feed
+    day = dt.datetime(1995, 1, 1)
+    keys = [None, 1, 30, 77, 89, 97, 97 * 89, 97 * 89]
+    spark.createDataFrame([(k, 1, day) for k in keys], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"
+                          ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "n")], "c_custkey bigint, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k, n, 1, 1, 5.0, "R", day) for k in keys for n in (None, 1, 2)],
+                          "l_orderkey bigint, l_linenumber bigint, l_partkey bigint, l_suppkey bigint, "
+                          "l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    headers, lines = replay_feed(spark, str(tmp_path))
+    for feed in (headers, lines):
+        assert "lambda" not in feed._jdf.queryExecution().executedPlan().toString()
+
+    def tally(df, *cols):
+        return sorted(tuple(map(str, r)) for r in df.groupBy(*cols).count().collect())
+    assert tally(lines, "hid", "lid") == sorted(
+        [(h, l, str(n)) for h, n in (("None", 1), ("O1", 1), ("O30", 1), ("O77", 1), ("O89", 1), ("O97", 1), ("O8633", 2))
+         for l in ("None", "L1", "L2") if (h, l) not in (("None", "L1"), ("O97", "None"), ("O8633", "None"))]
+        + [("None", "L1", "4"), ("O97", "None", "2"), ("O8633", "None", "4")])
+    assert tally(headers, "hid") == sorted([("O1", "1"), ("O30", "2"), ("O89", "2"), ("O97", "1"), ("None", "3"),
+                                            ("O8633", "4")])
