@@ -7,18 +7,21 @@ shingles, cut into ``BANDS`` bands of ``ROWS`` values: a pair of similarity 0.8
 shares a band with a probability over 0.998.  Lines that share a band are
 candidates.  Two necessary conditions of the similarity, on the sizes of the
 shingle sets and on ``LANES`` words of parity bits of their shingles, discard
-most of them inside the join (neither ever discards a similar pair: the bits
-that differ are at most the shingles that differ); the exact Jaccard similarity
-of the whole shingle sets, shingles named by 64-bit hashes, verifies the others,
-and a distributed union-find makes the groups.  Of each group the occurrence
-with the smallest (id, line number) stays.
-
-Scale: the texts are shuffled once, to be rebuilt; what else moves are hashes.
-Bands are dealt out by their value and read as a sorted stream, so a band that
-many lines share costs a task time in proportion and no memory, and no pairs
-of a band are made (see ``near_groups``).  Texts of candidates are fetched by
-a semi-join, whose list of nodes is broadcast only where it was counted to be
-small.
+most of them (neither ever discards a similar pair: the bits that differ are at
+most the shingles that differ); the exact Jaccard similarity of the whole
+shingle sets, shingles named by 64-bit hashes, verifies the others, and a
+distributed union-find makes the groups.  Of each group the occurrence with the
+smallest (id, line number) stays.
+
+Scale: the texts are shuffled once, to be rebuilt, and the lines once, to meet
+the candidates; what else moves are hashes and bits.  Bands are dealt out by
+their value and read as a sorted stream, so a band that many lines share costs
+no memory.  The stream takes a band in blocks of ``BLOCK`` members, and of a
+block only a spanning forest of the pairs that may be similar goes on, the most
+alike ones: a pair for each member at most.  They are verified and united; then
+the pairs of a band that still lie across components and meet the conditions
+are verified too (``pairs_across``), so that every pair that shares a band is
+connected or compared.
 
 Defined results: a null text stays null and counts no lines; blank lines stay
 where they are; a text whose lines all go is empty; rows equal in id and text
@@ -36,8 +39,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import BROADCAST_BYTES, cut, map_slices, release, row_key
-from orderloom.llm.near_groups import Side, near_groups
+from orderloom.llm.common import Folder, cut, map_slices, release, row_key
+from orderloom.llm.components import connected_components
+from orderloom.llm.near_groups import Side, as_links, mixed_buckets, pairs_across
 
 SHINGLE = 7
 ROWS, BANDS = 4, 13
@@ -46,8 +50,11 @@ BLANK = " \t\r\x0b\x0c"
 SEED = 42                # of the node hash; the same as the SQL function's
 AT_ONCE = 64             # documents whose lines are hashed at once
 SEEN = 200_000           # lines that a task remembers to have hashed
-LANES = 8                # 64-bit words of parity bits
+LANES = 16               # 64-bit words of parity bits
+BLOCK, ANCHORS = 512, 64 # members of a band compared at once; those that all its blocks share
+STREAM = 8192            # members that a task holds at once
 HELD = 4_000_000         # shingle hashes that a task keeps between slices
+TRAITS = ["size", *[f"b{i}" for i in range(LANES)]]
 
 
 def normalised(line: str) -> str:
@@ -209,20 +216,20 @@ def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def line_traits(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(node, size, b0, b1, ...)`` of the lines of ``docs(text)`` in ``nodes``:
-    the size of the shingle set and the words of its parity bits."""
+    """``(node, line, size, b0, b1, ...)`` of the lines of ``docs(text)`` in
+    ``nodes``: the line, the size of its shingle set and the words of its
+    parity bits."""
     lines = occurrences(docs).select("node", "line").join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
     def setup():
         def f(b: pa.RecordBatch) -> pa.RecordBatch:
             size, words = parity_bits([normalised(x) for x in b.column("line").to_pylist()])
             return pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array(size), *[pa.array(np.ascontiguousarray(w)) for w in words.T]],
-                names=["node", "size", *[f"b{i}" for i in range(LANES)]])
+                [b.column("node"), b.column("line"), pa.array(size),
+                 *[pa.array(np.ascontiguousarray(w)) for w in words.T]], names=["node", "line", *TRAITS])
         return f
 
-    schema = "node bigint, size bigint, " + ", ".join(f"b{i} bigint" for i in range(LANES))
-    return map_slices(lines, schema, setup)
+    return map_slices(lines, "node bigint, line string, " + ", ".join(f"{c} bigint" for c in TRAITS), setup)
 
 
 def differing_bits(l: Side, r: Side) -> Column:  # noqa: E741
@@ -240,15 +247,91 @@ def may_be_similar(l: Side, r: Side, similarity: float) -> Column:  # noqa: E741
     return share & (differing_bits(l, r) <= sizes * ((1 - similarity) / (1 + similarity)) + 0.001)
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+def forests(size: np.ndarray, words: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs that may be similar, the most alike ones
+    first (Prim), of each of several blocks of one length: ``size`` is
+    ``(blocks, members)``, ``words`` has the parity words.  Returns block,
+    member and member of each pair."""
+    blocks, n = size.shape
+    words = words.view(np.uint64)            # of a negative word, its magnitude's bits would be counted
+    every = np.arange(blocks)
+    gap = np.full((blocks, n), np.inf)       # between each member and its block's tree
+    near = np.zeros((blocks, n), np.int64)   # the member of the tree that it lies next to
+    inside = np.zeros((blocks, n), bool)
+    now, out = np.zeros(blocks, np.int64), []
+    for _ in range(n - 1):
+        inside[every, now] = True
+        mine = size[every, now][:, None]
+        both = size + mine
+        differ = np.bitwise_count(words ^ words[every, now][:, None]).sum(axis=2, dtype=np.int64)
+        may = ((np.minimum(size, mine) >= similarity * np.maximum(size, mine) - 0.001)
+               & (differ <= both * ((1 - similarity) / (1 + similarity)) + 0.001))
+        closer = np.where(may, differ / both, np.inf)
+        better = closer < gap
+        gap[better] = closer[better]
+        near[better] = np.broadcast_to(now[:, None], (blocks, n))[better]
+        free = np.where(inside, np.inf, gap)
+        place = free.argmin(axis=1)
+        linked = free[every, place] < np.inf
+        out.append((every[linked], near[every, place][linked], place[linked]))
+        now = np.where(linked, place, inside.argmin(axis=1))     # else a new tree
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def block_pairs(key: np.ndarray, node: np.ndarray, size: np.ndarray, words: np.ndarray,
+                similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs ``(u, v)`` of the forests of all bands of rows sorted by key, long
+    bands in blocks that begin with the band's first ``ANCHORS`` members."""
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    by_size: dict[int, list[np.ndarray]] = {}
+    for at, n in zip(starts.tolist(), np.diff(np.r_[starts, len(key)]).tolist()):
+        step = n if n <= BLOCK else BLOCK - ANCHORS
+        for i in range(0, n, step):
+            rows = np.arange(at + i, at + min(i + step, n))
+            if i:
+                rows = np.r_[at:at + ANCHORS, rows]
+            if len(rows) > 1:
+                by_size.setdefault(len(rows), []).append(rows)
+    u, v = [], []
+    for n, blocks in by_size.items():
+        some = max(1, STREAM // n)
+        for i in range(0, len(blocks), some):
+            rows = np.array(blocks[i:i + some])
+            block, a, b = forests(size[rows], words[rows], similarity)
+            u.append(node[rows[block, a]])
+            v.append(node[rows[block, b]])
+    u, v = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (u, v))
+    return np.maximum(u, v), np.minimum(u, v)
+
+
+def likely_pairs(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """From rows (key, node, size, b0, ...) sorted by key: the pairs ``(u, v)``
+    of each band's forests.  Holds ``STREAM`` rows or a few more; of a band
+    that goes on, its first members stay."""
+    def pairs(rows: np.ndarray) -> pa.RecordBatch:
+        u, v = block_pairs(rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3:], similarity)
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    held: list[np.ndarray] = []
+    for b in batches:
+        held.append(np.column_stack([c.to_numpy() for c in b.columns]))
+        if sum(map(len, held)) >= STREAM:
+            rows = np.concatenate(held)
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0]))     # where the band that may go on begins
+            if len(rows) - last < BLOCK:
+                done, held = rows[:last], [rows[last:]]
+            else:
+                done, held = rows, [rows[last:last + ANCHORS]]
+            if len(done):
+                yield pairs(done)
+    if held:
+        yield pairs(np.concatenate(held))
+
+
+def similar_pairs(traits: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs of nodes ``(u, v)`` whose lines reach the exact similarity."""
-    nodes = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    small = 64 * nodes.count() <= BROADCAST_BYTES     # a hashed relation takes several times its longs
-    lines = occurrences(docs).select("node", "line")
-    texts = lines.join(F.broadcast(nodes) if small else nodes, "node", "left_semi")
-    texts = texts.groupBy("node").agg(F.min("line").alias("line"))
-    both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("line").alias("a")), "u")
-            .join(texts.select(F.col("node").alias("v"), F.col("line").alias("b")), "v"))
+    both = (pairs.join(traits.select(F.col("node").alias("u"), F.col("line").alias("a")), "u")
+            .join(traits.select(F.col("node").alias("v"), F.col("line").alias("b")), "v"))
 
     def setup():
         sets: dict[int, np.ndarray] = {}     # of the lines compared last
@@ -282,18 +365,33 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def line_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(node, root)`` of the lines of ``docs(text)`` that are fuzzy copies."""
-    rows = band_rows(docs.select("text"))
-    members = (rows.repartition("key").sortWithinPartitions("key", "node")
-               .mapInArrow(shared_runs, "key bigint, node bigint, rep bigint")
-               .select("key", "node", F.struct(F.col("rep").alias("node")).alias("rep")))
-    members = cut(members)
-    release(docs.sparkSession)
-    texts = docs.select("text")
-    traits = cut(line_traits(texts, members.select("node").distinct()))
-    release(docs.sparkSession)
-    return near_groups(members, ["key"], lambda pairs: similar_pairs(texts, pairs, similarity),
-                       lambda l, r: may_be_similar(l, r, similarity), traits,  # noqa: E741
-                       lambda l, r: differing_bits(l, r) / (l("size") + r("size")))  # noqa: E741
+    spark, texts = docs.sparkSession, docs.select("text")
+    rows = band_rows(texts)
+    members = cut(rows.repartition("key").sortWithinPartitions("key", "node")
+                  .mapInArrow(shared_runs, "key bigint, node bigint, rep bigint").select("key", "node"))
+    release(spark)
+    traits = Folder(spark, "line-traits")
+    of = traits.written(line_traits(texts, members.select("node").distinct()))
+    release(spark)
+    bits = of.select("node", *TRAITS)
+    tested = (members.join(bits, "node").select("key", "node", *TRAITS)
+              .repartition("key").sortWithinPartitions("key", "node")
+              .mapInArrow(lambda b: likely_pairs(b, similarity), "u bigint, v bigint"))
+    tested = cut(tested.distinct())
+    release(spark)
+    groups = connected_components(similar_pairs(of, tested, similarity))
+    mixed = traits.written(mixed_buckets(members, ["key"], groups).join(bits, "node"))
+    # Read back as columns that may be null: a test of nulls for every word would
+    # make the join's code too long to be compiled.
+    mixed = mixed.withColumns({c: F.coalesce(c, F.lit(0)) for c in TRAITS})
+    across = pairs_across(mixed, ["key"], lambda l, r: may_be_similar(l, r, similarity))  # noqa: E741
+    across = cut(across.join(tested, ["u", "v"], "left_anti"))
+    found = cut(similar_pairs(of, across, similarity))
+    traits.remove()
+    release(spark)
+    if not found.count():
+        return groups
+    return connected_components(as_links(groups).unionByName(found))
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",

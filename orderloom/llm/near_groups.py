@@ -9,17 +9,15 @@ take the square of its size, and a bucket may hold a third of all rows, so:
 3. where buckets still hold several components and would make many pairs, the
    members outside a bucket's largest component meet a new representative of
    it, again one comparison each, as long as that still unites many;
-4. what is left outside is paired with the members of the other components.
-   Pairs inside one component need no comparison: they are connected already.
-   Where a measure ``gap`` of unlikeness is given, every component's most alike
-   pair is verified first and what is near united, as long as that unites
-   many; then all pairs that still lie across components are verified.
+4. what is left outside is paired with the members of the other components
+   (``pairs_across``).  Pairs inside one component need no comparison: they
+   are connected already.
 
 Step 4 makes the result exact: every pair that shares a bucket is connected or
 compared, and none is compared twice.  A cheap necessary condition
 (``may_be_near``) is part of its join, so only pairs that pass it leave the
 join, to be made distinct and verified.  Its work is the size of a bucket times
-the members that step 1 left outside, and the join on the bucket can be split
+the members that were left outside, and the join on the bucket can be split
 by adaptive execution.
 """
 
@@ -49,45 +47,55 @@ def shared_buckets(members: DataFrame, key: list[str], payload: list[str] = [])
     return members.join(reps, key)
 
 
+def mixed_buckets(members: DataFrame, key: list[str], groups: DataFrame) -> DataFrame:
+    """The ``members`` of buckets that hold several components of
+    ``groups(node, root)``, with their ``comp``, the bucket's largest component
+    ``main``, its number of members ``n`` and of those ``outside`` main."""
+    placed = (members.join(groups.withColumnRenamed("root", "comp"), "node", "left")
+              .withColumn("comp", F.coalesce("comp", "node")))
+    per = placed.groupBy(*key, "comp").agg(F.count("*").alias("n"))
+    mixed = (per.groupBy(*key).agg(F.count("*").alias("parts"), F.sum("n").alias("n"),
+                                   F.max(F.struct("n", "comp")).alias("main"))
+             .where("parts > 1").select(*key, F.col("main.comp").alias("main"),
+                                        (F.col("n") - F.col("main.n")).alias("outside"), "n"))
+    return placed.join(mixed, key)
+
+
+def pairs_across(mixed: DataFrame, key: list[str], may_be_near: Callable[[Side, Side], Column]) -> DataFrame:
+    """The distinct pairs ``(u, v)``, u > v, of members of ``mixed_buckets``
+    that share a bucket, lie in two components and may be near."""
+    pairs = mixed.where("comp <> main").alias("l").join(
+        mixed.alias("r"), [F.col(f"l.{k}") == F.col(f"r.{k}") for k in key])
+    once = (F.col("r.comp") == F.col("r.main")) | (F.col("l.node") < F.col("r.node"))
+    pairs = pairs.where((F.col("l.comp") != F.col("r.comp")) & once & may_be_near(
+        lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
+    return pairs.select(F.greatest("l.node", "r.node").alias("u"), F.least("l.node", "r.node").alias("v")).distinct()
+
+
+def as_links(groups: DataFrame) -> DataFrame:
+    """``groups(node, root)`` as links ``(u, v)``."""
+    return groups.select(F.col("node").alias("u"), F.col("root").alias("v"))
+
+
 def near_groups(members: DataFrame, key: list[str], verify: Verify,
-                may_be_near: Callable[[Side, Side], Column] = lambda l, r: F.lit(True),  # noqa: E741
-                traits: DataFrame | None = None,
-                gap: Callable[[Side, Side], Column] | None = None) -> DataFrame:
+                may_be_near: Callable[[Side, Side], Column] = lambda l, r: F.lit(True)) -> DataFrame:  # noqa: E741
     """``(node, root)`` for every node that is not the smallest of its group.
 
     ``members`` comes from ``shared_buckets`` and should be a cheap table (it
     is read several times).  ``may_be_near(l, r)`` is a condition of a pair
     from two functions that give a side's ``node`` or payload column, and
     ``verify(pairs(u, v))`` returns the pairs that are near indeed.
-    ``gap(l, r)`` orders pairs, the likeliest to be near first.  Wide
-    payload, one row a node, can come as ``traits(node, ...)`` instead; it
-    only meets the pairs of step 1 and the members of mixed buckets.
     """
-    star = members.where("node <> rep.node")
-    if traits is None:
-        star = star.where(may_be_near(F.col, lambda c: F.col(f"rep.{c}")))
-    star = star.groupBy(F.col("node").alias("u")).agg(F.min("rep.node").alias("v"))
-    if traits is not None:
-        sides = {x: traits.select(F.col("node").alias(x), F.struct("*").alias(f"_{x}")) for x in "uv"}
-        star = star.join(sides["u"], "u").join(sides["v"], "v").where(may_be_near(
-            lambda c: F.col(f"_u.{c}"), lambda c: F.col(f"_v.{c}"))).select("u", "v")
-    star = cut(star)
+    star = members.where("node <> rep.node").where(may_be_near(F.col, lambda c: F.col(f"rep.{c}")))
+    star = cut(star.groupBy(F.col("node").alias("u")).agg(F.min("rep.node").alias("v")))
     first = cut(connected_components(verify(star)))
     release(members.sparkSession)
     tested, at, going = star, 0, True
     kept: list[Folder] = []                  # of the tables of mixed buckets, the widest ones
     while True:
-        # The largest component of a bucket is its main one.
-        placed = (members.drop("rep").join(first.withColumnRenamed("root", "comp"), "node", "left")
-                  .withColumn("comp", F.coalesce("comp", "node")))
-        per = placed.groupBy(*key, "comp").agg(F.count("*").alias("n"))
-        mixed = (per.groupBy(*key).agg(F.count("*").alias("parts"), F.sum("n").alias("n"),
-                                       F.max(F.struct("n", "comp")).alias("main"))
-                 .where("parts > 1").select(*key, F.col("main.comp").alias("main"),
-                                            (F.col("n") - F.col("main.n")).alias("outside"), "n"))
-        mixed = placed.join(mixed, key)
+        mixed = mixed_buckets(members.drop("rep"), key, first)
         kept.append(Folder(members.sparkSession, "near-groups"))
-        mixed = kept[-1].written(mixed if traits is None else mixed.join(traits, "node"))
+        mixed = kept[-1].written(mixed)
         if len(kept) > 1:
             kept.pop(0).remove()             # nothing reads the last round's any more
         outside, pairs = mixed.where("comp <> main").agg(F.count("*"), F.sum("n")).first()
@@ -103,54 +111,9 @@ def near_groups(members: DataFrame, key: list[str], verify: Verify,
         tested = tested.unionByName(met)
         found = cut(verify(met).select("u", "v"))
         going = found.count() * PROGRESS >= met.count() > 0
-        before = first.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        first = cut(connected_components(before.unionByName(found)))
+        first = cut(connected_components(as_links(first).unionByName(found)))
         release(members.sparkSession)
-    pairs = mixed.where("comp <> main").alias("l").join(
-        mixed.alias("r"), [F.col(f"l.{k}") == F.col(f"r.{k}") for k in key])
-    once = (F.col("r.comp") == F.col("r.main")) | (F.col("l.node") < F.col("r.node"))
-    pairs = pairs.where((F.col("l.comp") != F.col("r.comp")) & once & may_be_near(
-        lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
-    scored = [] if gap is None else [gap(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")).alias("gap")]
-    pairs = pairs.select(F.greatest("l.node", "r.node").alias("u"),
-                         F.least("l.node", "r.node").alias("v"), *scored).distinct()
-    untested = cut(pairs.join(tested, ["u", "v"], "left_anti"))
+    untested = cut(pairs_across(mixed, key, may_be_near).join(tested, ["u", "v"], "left_anti"))
     kept.pop().remove()
     release(members.sparkSession)
-    if gap is not None:
-        first, untested = most_alike_first(first, untested, verify)
-    links = first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
-        verify(untested.select("u", "v")).select("u", "v"))
-    return connected_components(links)
-
-
-def most_alike_first(groups: DataFrame, pairs: DataFrame, verify: Verify) -> tuple[DataFrame, DataFrame]:
-    """``groups(node, root)`` with more links, and what of ``pairs(u, v, gap)``
-    still lies across two groups and is unverified.  Only pairs whose ends got
-    connected, or that were verified, leave ``pairs``."""
-    while True:
-        side = {x: groups.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "uv"}
-        placed = (pairs.join(side["u"], "u", "left").join(side["v"], "v", "left")
-                  .select("u", "v", "gap", F.coalesce("u_root", "u").alias("c"),
-                          F.coalesce("v_root", "v").alias("d")).where("c <> d"))
-        placed = cut(placed)
-        best = cut(placed.select(F.explode(F.array("c", "d")).alias("c"), "gap", "u", "v")
-                   .groupBy("c").agg(F.min(F.struct("gap", "u", "v")).alias("best"))
-                   .select("best.u", "best.v").distinct())
-        n, tried = placed.count(), best.count()
-        pairs = placed.select("u", "v", "gap")
-        if n < 2 * tried or not tried:       # about one pair a group: verify them all
-            return groups, pairs
-        found = cut(verify(best).select("u", "v"))
-        pairs = pairs.join(best, ["u", "v"], "left_anti")
-        if not found.count():
-            return groups, pairs
-        before = groups.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        groups = cut(connected_components(before.unionByName(found)))
-        release(groups.sparkSession)
-        if found.count() * PROGRESS < tried:
-            break
-    side = {x: groups.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in "uv"}
-    across = F.coalesce("u_root", "u") != F.coalesce("v_root", "v")
-    return groups, cut(pairs.join(side["u"], "u", "left").join(side["v"], "v", "left")
-                       .where(across).select("u", "v", "gap"))
+    return connected_components(as_links(first).unionByName(verify(untested).select("u", "v")))

@@ -47,6 +47,21 @@ def test_components(spark, seed):
     assert got == {x: sets.find(x) for x in sets.up if sets.find(x) != x}
 
 
+def test_components_by_rounds_alone(spark):
+    """The same with and without the merge of few links in one task, which
+    takes batches together."""
+    rnd = random.Random(8)
+    edges = [(i, i + 1) for i in range(300)] + [(rnd.randrange(400, 900), rnd.randrange(400, 900)) for _ in range(300)]
+    rnd.shuffle(edges)
+    sets = Sets({x for e in edges for x in e})
+    for a, b in edges:
+        sets.join(a, b)
+    df = spark.createDataFrame(edges, "u bigint, v bigint").repartition(4)
+    for at_once in (0, 50, 10_000):
+        got = {r.node: r.root for r in components.connected_components(df, at_once).collect()}
+        assert got == {x: sets.find(x) for x in sets.up if sets.find(x) != x}
+
+
 # line dedup
 
 def kept_lines(docs):
@@ -136,6 +151,56 @@ def test_shared_runs_across_batches():
         assert set(got) == want
 
 
+def likely(rows, size):
+    """The pairs of ``likely_pairs`` over rows (key, node, line) in batches of ``size``."""
+    import numpy as np
+    import pyarrow as pa
+    sizes, words = line_dedup.parity_bits([x for _, _, x in rows])
+    cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(sizes),
+            *[pa.array(np.ascontiguousarray(w)) for w in words.T]]
+    whole = pa.RecordBatch.from_arrays(cols, names=["key", "node", *line_dedup.TRAITS])
+    batches = (whole.slice(i, size) for i in range(0, len(rows), size))
+    return [tuple(r.values()) for b in line_dedup.likely_pairs(batches, 0.8) for r in b.to_pylist()]
+
+
+def test_likely_pairs_of_a_large_band_are_few_and_connect_it(monkeypatch):
+    """A band of near copies gives about a pair a member, not its square, and
+    they connect it, also where it is cut into blocks and batches."""
+    rnd = random.Random(4)
+    base = ["".join(rnd.choice("abcdefghij ") for _ in range(300)) for _ in range(2)]
+    rows = [(1, i, base[0]) for i in range(3)] + [(2, 100 + i, edited(rnd, base[i % 2], 1)) for i in range(400)]
+    rows += [(3, 900, base[0]), (3, 901, base[1]), (4, 902, base[0])]
+    for block, anchors, stream, size in ((512, 64, 8192, 1000), (40, 10, 64, 17), (16, 4, 1, 400)):
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
+        monkeypatch.setattr(line_dedup, "ANCHORS", anchors)
+        monkeypatch.setattr(line_dedup, "STREAM", stream)
+        pairs = set(likely(rows, size))
+        sets = Sets({n for _, n, _ in rows})
+        for u, v in pairs:
+            assert u > v
+            sets.join(u, v)
+        roots = {n: sets.find(n) for _, n, _ in rows}
+        assert {roots[100 + i] for i in range(400)} == {100, 101}
+        assert roots[0] == roots[1] == roots[2] == 0 and roots[900] == 900 and roots[901] == 901
+        assert len(pairs) < 2 * len(rows)
+
+
+def test_line_dedup_compares_few_pairs_of_a_mixed_group(spark, monkeypatch):
+    """Two families that share bands, and lines that are like neither: what is
+    verified grows with the lines, not with their square."""
+    rnd = random.Random(12)
+    base = "".join(rnd.choice("abcdefghij ") for _ in range(500))
+    far = [edited(rnd, base, 18) for _ in range(40)]
+    rows = [(i, edited(rnd, base, 2)) for i in range(160)] + [(200 + i, x) for i, x in enumerate(far)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    compared = []
+    whole = line_dedup.similar_pairs
+    monkeypatch.setattr(line_dedup, "similar_pairs", lambda t, p, s: (compared.append(p.count()), whole(t, p, s))[1])
+    got = {r["row"].doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got == kept_lines(rows)
+    assert sum(compared) < 3 * len(rows)
+
+
 # decontamination
 
 def contamination(docs, items):
