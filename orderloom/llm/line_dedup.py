@@ -167,14 +167,13 @@ def band_rows(docs: DataFrame) -> DataFrame:
             lines = list(dict.fromkeys(x for t in b.column("text").to_pylist() if t
                                        for x in t.split("\n") if x.strip(BLANK)))
             node = [xxh64_intdigest(x.encode(), SEED) for x in lines]
-            lines = [x for x, n in zip(lines, node) if n not in seen]
+            new = [(x, n) for x, n in zip(lines, node) if n not in seen]
             if len(seen) + len(node) > SEEN:
                 seen.clear()
             seen.update(node)
-            if lines:
-                node = np.array([xxh64_intdigest(x.encode(), SEED) for x in lines],
-                                np.uint64).view(np.int64)
-                keys = band_keys(signatures([normalised(x) for x in lines]))
+            if new:
+                node = np.array([n for _, n in new], np.uint64).view(np.int64)
+                keys = band_keys(signatures([normalised(x) for x, _ in new]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel()), pa.array(np.repeat(node, keys.shape[1]))],
                     names=["key", "node"])
@@ -184,8 +183,9 @@ def band_rows(docs: DataFrame) -> DataFrame:
 
 
 def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (key, node): the members of keys with two nodes or
-    more, each with the key's first node.  Holds one batch and one row."""
+    """From rows sorted by key: the members of keys with two nodes or more, each
+    with the key's first node.  Holds one batch and one row.  Where the nodes of
+    a key are not sorted, a node that was given twice may come twice."""
     key0 = node0 = None      # the key that the last batch ended with, its first node
     told = False             # whether that node has been given out
     for b in batches:
@@ -367,15 +367,17 @@ def line_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(node, root)`` of the lines of ``docs(text)`` that are fuzzy copies."""
     spark, texts = docs.sparkSession, docs.select("text")
     rows = band_rows(texts)
-    members = cut(rows.repartition("key").sortWithinPartitions("key", "node")
-                  .mapInArrow(shared_runs, "key bigint, node bigint, rep bigint").select("key", "node"))
+    # Sorted by the one column only, which Spark does by radix.
+    members = cut(rows.repartition("key").sortWithinPartitions("key")
+                  .mapInArrow(shared_runs, "key bigint, node bigint, rep bigint")
+                  .select("key", "node").distinct())
     release(spark)
     traits = Folder(spark, "line-traits")
     of = traits.written(line_traits(texts, members.select("node").distinct()))
     release(spark)
     bits = of.select("node", *TRAITS)
     tested = (members.join(bits, "node").select("key", "node", *TRAITS)
-              .repartition("key").sortWithinPartitions("key", "node")
+              .repartition("key").sortWithinPartitions("key")
               .mapInArrow(lambda b: likely_pairs(b, similarity), "u bigint, v bigint"))
     tested = cut(tested.distinct())
     release(spark)
@@ -402,7 +404,8 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("doc"))
     groups = cut(line_groups(rows, similarity))
     release(docs.sparkSession)
-    lines = occurrences(rows).drop("line")
+    # Dealt out once, for both the first occurrences and those that go; both read the same columns.
+    lines = occurrences(rows).select("id", "doc", "line_no", "node").repartition("node")
     firsts = (lines.groupBy("node").agg(F.min(F.struct("id", "doc", "line_no")).alias("first"),
                                         F.count("*").alias("n"))
               .join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")))
@@ -410,7 +413,8 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
             .where("n > 1").select("root", "kept"))
     repeated = firsts.join(best, "root").select("node", "kept")
     dropped = (lines.join(repeated, "node")
-               .where((F.col("doc") != F.col("kept.doc")) | (F.col("line_no") != F.col("kept.line_no")))
+               .where((F.col("doc") != F.col("kept.doc")) | (F.col("line_no") != F.col("kept.line_no"))
+                      | ~F.col("id").eqNullSafe(F.col("kept.id")))
                .groupBy("doc").agg(F.collect_set("line_no").alias("dropped")))
     whole = docs.select(F.struct("*").alias("row"), key.alias("doc"))
     joined = whole.join(dropped, "doc", "left").select("row", "dropped")

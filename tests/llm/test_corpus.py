@@ -9,7 +9,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.llm import components, decontaminate, line_dedup, packing, queries, simhash_groups
+from orderloom.llm import (components, decontaminate, line_dedup, near_groups, packing, queries,
+                           simhash_groups)
 
 
 class Sets:
@@ -193,12 +194,15 @@ def test_line_dedup_compares_few_pairs_of_a_mixed_group(spark, monkeypatch):
     far = [edited(rnd, base, 18) for _ in range(40)]
     rows = [(i, edited(rnd, base, 2)) for i in range(160)] + [(200 + i, x) for i, x in enumerate(far)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    compared = []
+    compared, united = [], []
+    unite = components.connected_components
+    for module in (line_dedup, near_groups):
+        monkeypatch.setattr(module, "connected_components", lambda e: (united.append(1), unite(e))[1], raising=False)
     whole = line_dedup.similar_pairs
     monkeypatch.setattr(line_dedup, "similar_pairs", lambda t, p, s: (compared.append(p.count()), whole(t, p, s))[1])
     got = {r["row"].doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
     assert got == kept_lines(rows)
-    assert sum(compared) < 3 * len(rows)
+    assert sum(compared) < 3 * len(rows) and len(united) <= 2
 
 
 # decontamination
