@@ -114,3 +114,20 @@ def test_a_folder_without_its_number_is_read_as_plain_files(spark, tmp_path):
     held = set()
     rows = store.read("versions", dealt=held)
     assert held == {None} and _rows(rows) == _rows(store.read("versions"))
+
+
+def test_the_replayed_drops_are_compressed(spark, sf_small, tmp_path, monkeypatch):
+    """The JSON drops of the streaming replay hold the feeds' records, compressed."""
+    import glob
+
+    from orderloom.plans import replay
+    from orderloom.sources.feeds import replay_feed
+    monkeypatch.setattr("orderloom.streaming.runner.run_available", lambda *a, **kw: None)
+    replay.stream_replay(spark, sf_small, str(tmp_path))
+    for name, feed in zip(replay.FIELDS, replay_feed(spark, sf_small)):
+        files = glob.glob(f"{tmp_path}/in/{name}/*/part-*")
+        assert files and all(f.endswith(".json.gz") for f in files)
+        cols = [c.upper() for c in replay.FIELDS[name] if c not in ("hdate", "ldate", "received", "amt")]
+        want = feed.where("run_id IS NOT NULL").select(*[F.col(c.lower()).alias(c) for c in cols])
+        text = ", ".join(f"{c} string" for c in cols)
+        assert _rows(spark.read.schema(text).json(f"{tmp_path}/in/{name}/*")) == _rows(want)
